@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op10_byte_bpe
+from .mixing import OP4_SQL, op4_mix_sources
 
-QUERIES = {"op10_byte_bpe": op10_byte_bpe}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op4_mix_sources": op4_mix_sources, "op10_byte_bpe": op10_byte_bpe}
+ORACLES: dict[str, str] = {"op4_mix_sources": OP4_SQL}
