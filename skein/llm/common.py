@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +46,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's sources to the executors, once per context, where workers need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_skein_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="skein-src-")) / "skein_src.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    sc._skein_shipped = True
+
+
 def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bounds the rows of an Arrow batch, since whole texts are sent."""
+    """Bounds the rows of an Arrow batch, since whole texts are sent, and makes sure that workers have this package."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from .bpe import op10_byte_bpe
+from .jaccard import op5_jaccard_join
 from .licenses import op7_license_scan
 from .mixing import OP4_SQL, op4_mix_sources
 from .pii import op1_pii
 
-QUERIES = {"op1_pii": op1_pii, "op4_mix_sources": op4_mix_sources, "op7_license_scan": op7_license_scan, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op1_pii": op1_pii, "op4_mix_sources": op4_mix_sources, "op5_jaccard_join": op5_jaccard_join, "op7_license_scan": op7_license_scan, "op10_byte_bpe": op10_byte_bpe}
 ORACLES: dict[str, str] = {"op4_mix_sources": OP4_SQL}
