@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]++"
+#: Characters around a keyword in which its rules are tried; all matches are shorter.
+REACH = 300
 #: The phrases that are counted in every text, with their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
@@ -139,8 +140,11 @@ CLAUSES = (
 
 
 def _keyword(name: str) -> str:
-    """The longest word of a name that is always there."""
-    return max(name.split(), key=len)
+    """The name as a prefix that any spelling of "license" shares: few texts hold it without a notice."""
+    for word in ("license", "licence"):
+        if word in name:
+            return name[: name.index(word)] + "licen"
+    return name
 
 
 def rules() -> list[Rule]:
@@ -148,8 +152,8 @@ def rules() -> list[Rule]:
     shorter ones."""
     out = [(name, label, keyword, pattern) for name, label, keyword, pattern in CLAUSES]
     for k, (label, parts) in enumerate(COMMONS):
-        out += [(f"cc-short-{k}-{n}", label, "cc", f"{lead}cc by {parts + ' ' if parts else ''}[1-4] [0-9]") for n, lead in enumerate(LEADS[:2])]
-        out += [(f"cc-bare-{k}", label, "cc", f"cc by {parts}")] * bool(parts)
+        out += [(f"cc-short-{k}-{n}", label, "cc by", f"{lead}cc by {parts + ' ' if parts else ''}[1-4] [0-9]") for n, lead in enumerate(LEADS[:2])]
+        out += [(f"cc-bare-{k}", label, "cc by", f"cc by {parts}")] * bool(parts)
     for k, (label, words) in enumerate(COMMONS_LONG):
         out += [(f"cc-long-{k}-{n}", label, "attribution", f"{lead}(?:creative commons |cc ){words}(?: (?:[1-4] [0-9] )?(?:international|unported|generic|public))?(?: licen[sc]e)?") for n, lead in enumerate(LEADS[:2])]
     for label, names, versions in FAMILIES:
@@ -159,33 +163,41 @@ def rules() -> list[Rule]:
                     tail = TAIL.format(version) if version else ""
                     out.append((f"{label}-{name}-{version}-{n}".replace(" ", "-"), label, _keyword(name), lead + name.replace("license", "licen[sc]e") + tail))
     out += [("base-" + label, label, _keyword(phrase), phrase) for phrase, label in BASE]
-    return [Rule(name, label, keyword.replace("license", "licen"), pattern, k) for k, (name, label, keyword, pattern) in enumerate(out)]
+    return [Rule(name, label, keyword, pattern, k) for k, (name, label, keyword, pattern) in enumerate(out)]
 
 
 def word_line(text: Column) -> Column:
-    """The lower-case words of a text with one space before, between and after them."""
-    return F.regexp_replace(F.concat(F.lit(" "), F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(" ")), NOT_WORD, " ")
+    """The lower-case words of a text with one space before, between and after them. Beyond A to Z, lower() changes
+    letters into letters only, so words stay as they are."""
+    return F.regexp_replace(F.concat(F.lit(" "), F.lower(F.coalesce(text, F.lit(""))), F.lit(" ")), NOT_WORD, " ")
 
 
 def spaces(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _places(line: Column, pattern: Column) -> Column:
     """Array of (start, end) of a pattern's matches, in words from 0, end exclusive. What lies between the matches
     gives where they are."""
-    whole = F.concat(F.lit("(?<= )(?:"), pattern, F.lit(")(?= )"))
-    between = F.transform(F.split(line, whole, -1), spaces)
-    inside = F.transform(F.regexp_extract_all(line, whole, F.lit(0)), spaces)
-    both = F.arrays_zip(F.slice(between, 1, F.size(inside)).alias("gap"), inside.alias("own"))
-    start = F.struct(F.lit(-1).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("found"))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    start = F.struct(F.lit(-1).alias("at"), none.alias("found"))
 
     def add(state: Column, x: Column) -> Column:
         first = state["at"] + x["gap"]
         last = first + x["own"]
         return F.struct(last.alias("at"), F.concat(state["found"], F.array(F.struct(first.alias("start"), (last + 1).alias("end")))).alias("found"))
 
-    return F.aggregate(both, start, add, lambda s: s["found"])
+    def located(whole: Column, inside: Column) -> Column:
+        between = F.slice(F.transform(F.split(line, whole, -1), spaces), 1, F.size(inside))
+        return F.aggregate(F.arrays_zip(between.alias("gap"), F.transform(inside, spaces).alias("own")), start, add, lambda s: s["found"])
+
+    whole = F.concat(F.lit("(?<= )(?:"), pattern, F.lit(")(?= )"))
+    return let(F.regexp_extract_all(line, whole, F.lit(0)), lambda inside: F.when(F.size(inside) > 0, located(whole, inside)).otherwise(none))
 
 
 def detections(line: Column, rule_list: list[Rule]) -> Column:
@@ -197,14 +209,26 @@ def detections(line: Column, rule_list: list[Rule]) -> Column:
     def literal(rs: list[Rule]) -> Column:
         return F.array(*[F.struct(F.lit(r.priority).alias("priority"), F.lit(r.name).alias("name"), F.lit(r.label).alias("label"), F.lit(r.pattern).alias("pattern")) for r in rs])
 
-    words = F.array(*[F.struct(F.lit(k).alias("word"), literal(rs).alias("rules")) for k, rs in by_word.items()])
-    tried = F.flatten(F.transform(F.filter(words, lambda w: F.contains(line, F.concat(F.lit(" "), w["word"]))), lambda w: w["rules"]))
-    found = F.flatten(
-        F.transform(
-            tried,
-            lambda r: F.transform(_places(line, r["pattern"]), lambda p: F.struct(p["start"].alias("start"), (-p["end"]).alias("back"), r["priority"].alias("priority"), r["label"].alias("label"), r["name"].alias("rule"))),
-        )
-    )
+    words = F.array(*[F.struct(F.lit(" " + k).alias("word"), literal(rs).alias("rules")) for k, rs in by_word.items()])
+
+    def around(w: Column) -> Column:
+        """The surroundings of each place of a keyword, with the number of words before them."""
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found"))
+
+        def add(state: Column, gap: Column) -> Column:
+            at = state["at"] + gap
+            return F.struct((at + F.length(w["word"])).alias("at"), F.concat(state["found"], F.array(F.greatest(F.lit(0), at - REACH))).alias("found"))
+
+        begins = F.aggregate(F.transform(F.split(line, w["word"], -1), F.length), start, add, lambda s: F.slice(s["found"], F.lit(1), F.size(s["found"]) - 1))
+        return F.transform(begins, lambda at: F.struct(F.substring(line, at + 1, F.lit(2 * REACH)).alias("line"), spaces(F.substring(line, F.lit(1), at)).alias("before")))
+
+    def tried(x: Column, r: Column) -> Column:
+        return F.transform(_places(x["line"], r["pattern"]), lambda p: F.struct((p["start"] + x["before"]).alias("start"), (-p["end"] - x["before"]).alias("back"), r["priority"].alias("priority"), r["label"].alias("label"), r["name"].alias("rule")))
+
+    def matches(w: Column) -> Column:
+        return let(around(w), lambda near: F.flatten(F.transform(w["rules"], lambda r: F.flatten(F.transform(near, lambda x: tried(x, r))))))
+
+    found = F.flatten(F.transform(F.filter(words, lambda w: F.contains(line, w["word"])), matches))
     kept = F.struct(F.lit(-1).alias("end"), F.array().cast("array<struct<start:int,end:int,label:string,rule:string>>").alias("kept"))
 
     def add(state: Column, x: Column) -> Column:
