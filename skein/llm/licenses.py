@@ -144,7 +144,7 @@ def _keyword(name: str) -> str:
     for word in ("license", "licence"):
         if word in name:
             return name[: name.index(word)] + "licen"
-    return name
+    return name + " "
 
 
 def rules() -> list[Rule]:

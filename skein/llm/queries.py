@@ -7,6 +7,16 @@ from .jaccard import op5_jaccard_join
 from .licenses import op7_license_scan
 from .mixing import OP4_SQL, op4_mix_sources
 from .pii import op1_pii
+from .quality import op2_quality
+from .toxicity import op3_toxicity
 
-QUERIES = {"op1_pii": op1_pii, "op4_mix_sources": op4_mix_sources, "op5_jaccard_join": op5_jaccard_join, "op7_license_scan": op7_license_scan, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_quality": op2_quality,
+    "op3_toxicity": op3_toxicity,
+    "op4_mix_sources": op4_mix_sources,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op7_license_scan": op7_license_scan,
+    "op10_byte_bpe": op10_byte_bpe,
+}
 ORACLES: dict[str, str] = {"op4_mix_sources": OP4_SQL}
