@@ -28,7 +28,9 @@ from .quality import scored
 SAMPLE = 4000
 #: Feature numbers: two bits for the kind (words, prefixes), the others a hash.
 BITS, KINDS, PREFIXES = 20, 3, (4, 5)
-PASSES, DEALT, TELLING, SEEN = 4, 4, 2.5, 4
+PASSES, DEALT, SEEN = 4, 4, 3
+#: Least log-odds, by the lower bound of its estimate and by itself, of what toxic and clean voters hold.
+TELLING, HINTING, ERRORS = 1.0, 1.25, 3.0
 #: Fixed lexicons, mild and strong.
 LEXICONS = (
     ("stupid", "clown", "loser", "pathetic", "trash", "fool", "dumb", "lame", "ugly", "jerk"),
@@ -84,7 +86,8 @@ def mined(features: list[np.ndarray], labels: np.ndarray) -> Voters:
     seen = [np.bincount(np.concatenate([f for f, y in zip(features, labels, strict=True) if y == k] or [np.zeros(0, np.int64)]), minlength=size) for k in (0, 1)]
     n = [max(1, int((labels == k).sum())) for k in (0, 1)]
     odds = np.log((seen[1] + 0.1) / (n[1] + 0.2)) - np.log((seen[0] + 0.1) / (n[0] + 0.2))
-    telling = (odds > TELLING) & (seen[1] >= SEEN)
+    spread = np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5))
+    telling = (odds - ERRORS * spread > TELLING) & (seen[1] >= SEEN)
     kind, number = np.arange(size) >> (BITS - 2), np.arange(size)
     toxic = [telling & (kind == k) & (number % DEALT == d) for k in range(KINDS) for d in range(DEALT)]
     for words in LEXICONS:
@@ -92,7 +95,7 @@ def mined(features: list[np.ndarray], labels: np.ndarray) -> Voters:
         mark[lexicon(words)] = True
         toxic.append(mark)
     clean = [telling & (kind == k) for k in range(KINDS)]
-    clean.append((odds > TELLING / 2) & (seen[1] >= 2 * SEEN))
+    clean.append((odds > HINTING) & (seen[1] >= 2 * SEEN))
     return Voters(np.array(toxic), np.array(clean))
 
 
@@ -141,7 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = SA
     size = 1 << BITS
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(size, np.float32), float(6 * y[0] - 3) if len(y) else 0.0)
-    features = [np.unique(f) for f in features]
+    once = {np.unique(f).tobytes(): k for k, f in enumerate(features)}  # copies are no new evidence
+    features, y = [np.unique(features[k]) for k in once.values()], y[list(once.values())]
     posterior, _, _ = label_model(mined(features, y).votes(features), float(np.clip(y.mean(), 0.02, 0.98)))
     rows = [(np.append(f, size), np.ones(len(f) + 1)) for f in features]
     w = ftrl(rows, posterior, size + 1, PASSES, np.ones(len(rows)), alpha=0.1, l1=1.0)
