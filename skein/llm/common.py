@@ -42,7 +42,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """df written as Parquet in the shared folder and read back; for tables of which parts are read several times."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/skein/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -32,6 +32,8 @@ WORDS, PERCENT = 5, 75
 #: The order's table of counts, and the bit table of classes to verify: fixed sizes, so they can be broadcast. More
 #: shingles or classes than entries make them less selective, never wrong.
 COUNTERS, BITS, BLOCK = 1 << 22, 1 << 25, 4096
+#: Ranges of the hashes by which the suffix filter compares sets before they are sent.
+PART_BITS = 7
 
 
 def needed(sizes: np.ndarray) -> np.ndarray:
@@ -39,6 +41,12 @@ def needed(sizes: np.ndarray) -> np.ndarray:
     return -(-PERCENT * sizes // (100 + PERCENT))
 
 
+def sort_within(x: np.ndarray, offs: np.ndarray) -> None:
+    """Sorts each row's part of x in place."""
+    for i, j in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+        x[i:j].sort()
+
+
 def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, offsets, hashes): sorted distinct shingles of some rows of a text column."""
     buf, offs = text_bytes(column)
@@ -59,8 +67,9 @@ def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray
             if len(few):
                 short = [mix64(np.array([np.sum(words[first[i] : first[i + 1]] * np.arange(3, 3 + 2 * counts[i], 2, dtype=np.uint64)) + np.uint64(counts[i])]))[0] for i in few]
                 hashes, owner = np.concatenate([hashes, np.array(short, np.uint64)]), np.concatenate([owner, few])
-        order = np.lexsort((hashes, owner))
-        hashes, owner = hashes[order], owner[order]
+        by = np.argsort(owner, kind="stable") if len(few) else slice(None)
+        hashes, owner = hashes[by], owner[by]
+        sort_within(hashes, np.searchsorted(owner, np.arange(b - a + 1)))
         if len(hashes):
             new = np.ones(len(hashes), bool)
             new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
@@ -98,18 +107,27 @@ def _summed(parts: DataFrame, dtype: str, bits: bool) -> np.ndarray:
                 else:
                     held[k] = held.get(k, 0) + part.astype(np.int64)
         if held:
-            out = [x if bits else np.minimum(np.log2(np.maximum(x, 1)) * 4, 255) for x in held.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.astype(np.uint8).tobytes() for x in out], pa.binary())], names=["block", "part"])
+            kind = np.uint8 if bits else np.uint32
+            out = [(x if bits else np.minimum(x, 0xFFFFFFFF)).astype(kind).tobytes() for x in held.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(out, pa.binary())], names=["block", "part"])
 
     spark = parts.sparkSession
     tasks = min(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = parts.select("block", "part").repartition(tasks, "block").mapInArrow(run, "block int, part binary").collect()
-    out = np.zeros((BITS // 8 if bits else COUNTERS), np.uint8)
+    out = np.zeros(BITS // 8, np.uint8) if bits else np.zeros(COUNTERS, np.uint32)
     for r in rows:
-        out[r[0] * BLOCK : r[0] * BLOCK + len(r[1])] = np.frombuffer(r[1], np.uint8)
+        out[r[0] * BLOCK : (r[0] + 1) * BLOCK] = np.frombuffer(r[1], out.dtype)
     return out
 
 
+def rarity(counts: np.ndarray) -> np.ndarray:
+    """Levels of the counters: 0 where a count is within chance of the others, then rising with what is beyond, so that
+    shingles that many documents share come last."""
+    usual = float(np.median(counts)) + 1
+    beyond = np.maximum(counts - usual, 0) / (3 * np.sqrt(usual))
+    return np.where(beyond < 1, 0, np.minimum(1 + 8 * np.log2(np.maximum(beyond, 1)), 255)).astype(np.uint8)
+
+
 def _classified(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n, class) and rows (block, part) of each task's counts, in one stored table."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -118,9 +136,7 @@ def _classified(docs: DataFrame) -> DataFrame:
         counts = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             for a, offs, hashes in shingle_sets(batch.column(1)):
-                counts += np.bincount((hashes >> np.uint64(42)).astype(np.int64), minlength=COUNTERS).astype(np.uint32) if len(hashes) > COUNTERS // 8 else 0
-                if len(hashes) <= COUNTERS // 8:
-                    np.add.at(counts, (hashes >> np.uint64(42)).astype(np.int64), 1)
+                np.add.at(counts, (hashes >> np.uint64(42)).astype(np.int64), 1)
                 n = len(offs) - 1
                 none = pa.nulls(n)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a : a + n], pa.array(np.diff(offs).astype(np.int64)), pa.array(class_ids(offs, hashes)), none.cast(pa.int32()), none.cast(pa.binary())], names=["doc_id", "n", "class", "block", "part"])
@@ -161,9 +177,8 @@ def _prefixes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 keep = fresh[owner]
                 owner, h = owner[keep], hashes[keep]
                 tokens = (order_of[(h >> np.uint64(42)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (h & np.uint64((1 << 56) - 1))
-                by = np.lexsort((tokens, owner))
-                tokens, owner = tokens[by], owner[by]
-                first = np.searchsorted(owner, np.arange(len(sizes)))
+                first = np.searchsorted(owner, np.arange(len(sizes) + 1))
+                sort_within(tokens, first)
                 pos = np.arange(len(owner)) - first[owner]
                 n = sizes[owner]
                 inside = pos < n - (-(-PERCENT * n // 100)) + 1
@@ -202,15 +217,21 @@ def _neighbours(prefixes: DataFrame) -> DataFrame:
             v = np.concatenate([c[other], c[other]])
             ok = (u != v) & np.concatenate([_close(n[other - 1], p[other - 1], n[other], p[other]), _close(fn[other], fp[other], n[other], p[other])])
             pairs = np.unique(np.stack([np.minimum(u, v)[ok], np.maximum(u, v)[ok]], axis=1), axis=0)
-            shared = same.copy()
-            shared[:-1] |= same[1:]
+            near_size = np.zeros(len(t), bool)
+            near_size[1:] = same[1:] & (100 * n[:-1].astype(np.int64) >= PERCENT * n[1:].astype(np.int64)) & (c[1:] != c[:-1])
+            shared = near_size.copy()
+            shared[:-1] |= near_size[1:]
+            if last is not None and shared[0] and not last[2]:
+                pass  # the row that the last batch ended with: it is written here
+            elif last is not None:
+                shared[0] = False
             rows = np.flatnonzero(shared)
             k, m = len(pairs), len(rows)
             if k + m:
                 at = lambda x, t_: pa.array(np.concatenate([np.zeros(k, x.dtype), x[rows]]), t_, mask=np.arange(k + m) < k)
                 of = lambda x: pa.array(np.concatenate([x, np.zeros(m, np.int64)]), pa.int64(), mask=np.arange(k + m) >= k)
                 yield pa.RecordBatch.from_arrays([of(pairs[:, 0]), of(pairs[:, 1]), at(t, pa.int64()), at(c, pa.int64()), at(n, pa.int32()), at(p, pa.int32())], names=["u", "v", "token", "class", "n", "pos"])
-            last = ((t[-1], c[-1], n[-1], p[-1]), (fc[-1], fn[-1], fp[-1]))
+            last = ((t[-1], c[-1], n[-1], p[-1]), (fc[-1], fn[-1], fp[-1]), bool(shared[-1]) or (len(t) == 1 and last is not None and last[2]))
 
     arrow_rows(prefixes.sparkSession, 50_000)
     dealt = prefixes.repartition(tasks, "token").sortWithinPartitions("token", "n", "class")
@@ -219,19 +240,20 @@ def _neighbours(prefixes: DataFrame) -> DataFrame:
     return out
 
 
-def _hamming_at_least(x: np.ndarray, y: np.ndarray, depth: int) -> int:
-    """Suffix filter: a lower bound of the number of entries in one of two sorted sets only."""
-    if depth == 0 or not len(x) or not len(y):
-        return abs(len(x) - len(y))
-    w = y[len(y) // 2]
-    k, m = int(np.searchsorted(x, w)), len(y) // 2
-    return _hamming_at_least(x[:k], y[:m], depth - 1) + _hamming_at_least(x[k:], y[m:], depth - 1)
+def outline(hashes: np.ndarray) -> bytes:
+    """How many of a set's hashes lie in each of PARTS equal ranges."""
+    return np.minimum(np.bincount((hashes >> np.uint64(64 - PART_BITS)).astype(np.int64), minlength=1 << PART_BITS), 65535).astype("<u2").tobytes()
+
+
+def may_be_similar(n1: np.ndarray, n2: np.ndarray, outlines1: np.ndarray, outlines2: np.ndarray) -> np.ndarray:
+    """Suffix filter: sets that differ by as much as their parts' sizes do hold at least so many hashes alone. Larger
+    parts than an outline can tell pass."""
+    differ = np.abs(outlines1.astype(np.int64) - outlines2).sum(axis=1)
+    full = (outlines1 == 65535).any(axis=1) | (outlines2 == 65535).any(axis=1)
+    return full | (n1 + n2 - differ >= 2 * needed(n1 + n2))
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
-    least = int(needed(np.int64(len(x) + len(y))))
-    if _hamming_at_least(x, y, 3) > len(x) + len(y) - 2 * least:
-        return False
     both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= PERCENT * (len(x) + len(y) - both)
 
@@ -251,9 +273,9 @@ def _sets_of(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                 rows = list({int(names[i]): i for i in rows}.values())
                 seen.update(names[rows].tolist())
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array([hashes[offs[i] : offs[i + 1]].tobytes() for i in rows], pa.binary())], names=["class", "set"])
+                    yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array([hashes[offs[i] : offs[i + 1]].tobytes() for i in rows], pa.binary()), pa.array([outline(hashes[offs[i] : offs[i + 1]]) for i in rows], pa.binary())], names=["class", "set", "outline"])
 
-    return docs.select("text").mapInArrow(run, "class long, set binary").dropDuplicates(["class"])
+    return docs.select("text").mapInArrow(run, "class long, set binary, outline binary").dropDuplicates(["class"])
 
 
 def _bits_of(classes: DataFrame) -> np.ndarray:
@@ -281,23 +303,35 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             ok = np.array([similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3), strict=True)], bool)
             yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], names=["u", "v"])
 
-    one = pairs.join(sets.select(F.col("class").alias("u"), F.col("set").alias("set_u")), "u")
-    two = one.join(sets.select(F.col("class").alias("v"), F.col("set").alias("set_v")), "v")
-    return checkpointed(two.select("u", "v", "set_u", "set_v").mapInArrow(run, "u long, v long"))
+    def outlined(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(batch.num_rows, -1) for i in (2, 3))
+            ok = may_be_similar(batch.column(4).to_numpy(), batch.column(5).to_numpy(), x, y)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["u", "v"])
+
+    size = F.floor(F.octet_length("set") / 8).cast("long")
+    brief = lambda k: sets.select(F.col("class").alias(k), F.col("outline").alias(f"outline_{k}"), size.alias(f"n_{k}"))
+    full = lambda k: sets.select(F.col("class").alias(k), F.col("set").alias(f"set_{k}"))
+    likely = pairs.join(brief("u"), "u").join(brief("v"), "v").select("u", "v", "outline_u", "outline_v", "n_u", "n_v")
+    likely = checkpointed(likely.mapInArrow(outlined, "u long, v long"))
+    two = likely.join(full("u"), "u").join(full("v"), "v").select("u", "v", "set_u", "set_v")
+    return checkpointed(two.mapInArrow(run, "u long, v long"))
 
 
 def _across(near: DataFrame, labels: DataFrame) -> DataFrame:
     """Candidates of different components: what shares a prefix shingle and passes the filters, by all shared ones."""
-    rows = near.where(F.col("token").isNotNull()).select("token", "class", "n", "pos").join(labels, F.col("class") == F.col("node"), "left")
+    rows = near.where(F.col("token").isNotNull()).select("token", "class", "n", "pos").distinct().join(labels, F.col("class") == F.col("node"), "left")
     rows = rows.select("token", "class", "n", "pos", F.coalesce("root", "class").alias("root"))
-    mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high")).select("token")
+    # up to three classes of a shingle were all paired as neighbours and with the first
+    several = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held"))
+    mixed = several.where((F.col("low") < F.col("high")) & (F.col("held") > 3)).select("token")
     rows = stored(rows.join(mixed, "token", "left_semi"), "jaccard-mixed")
     x, y = rows.alias("x"), rows.alias("y")
     meet = x.join(y, F.col("x.token") == F.col("y.token")).where(
         (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
     )
     pair = meet.groupBy(F.col("x.class").alias("u"), F.col("y.class").alias("v")).agg(
-        F.countDistinct("x.token").alias("both"), F.max("x.pos").alias("pu"), F.max("y.pos").alias("pv"), F.first("x.n").alias("nu"), F.first("y.n").alias("nv")
+        F.count("*").alias("both"), F.max("x.pos").alias("pu"), F.max("y.pos").alias("pv"), F.first("x.n").alias("nu"), F.first("y.n").alias("nv")
     )
     most = F.col("both") + F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv")) - 1
     return pair.where(most * (100 + PERCENT) >= PERCENT * (F.col("nu") + F.col("nv"))).select("u", "v")
@@ -307,8 +341,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of each row."""
     made = _classified(docs)
     rows = made.where(F.col("block").isNull()).select("doc_id", "n", "class")
-    levels = _summed(made.where(F.col("block").isNotNull()), "uint16", bits=False)
-    near = _neighbours(_prefixes(docs, levels))
+    counts = _summed(made.where(F.col("block").isNotNull()), "uint16", bits=False)
+    near = _neighbours(_prefixes(docs, rarity(counts)))
     links = _verified(docs, near.where(F.col("u").isNotNull()))
     labels = components(links)
     more = _verified(docs, _across(near, labels))
