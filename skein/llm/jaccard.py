@@ -129,7 +129,8 @@ def rarity(counts: np.ndarray) -> np.ndarray:
 
 
 def _classified(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, class) and rows (block, part) of each task's counts, in one stored table."""
+    """Rows (doc_id, n, class, part: outline of the set) and rows (block, part) of each task's counts, in one stored
+    table."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -139,7 +140,7 @@ def _classified(docs: DataFrame) -> DataFrame:
                 np.add.at(counts, (hashes >> np.uint64(42)).astype(np.int64), 1)
                 n = len(offs) - 1
                 none = pa.nulls(n)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a : a + n], pa.array(np.diff(offs).astype(np.int64)), pa.array(class_ids(offs, hashes)), none.cast(pa.int32()), none.cast(pa.binary())], names=["doc_id", "n", "class", "block", "part"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a : a + n], pa.array(np.diff(offs).astype(np.int64)), pa.array(class_ids(offs, hashes)), none.cast(pa.int32()), pa.array(outlines(offs, hashes), pa.binary())], names=["doc_id", "n", "class", "block", "part"])
         for k, part in _blocks(np.minimum(counts, 65535).astype(np.uint16)):
             yield pa.RecordBatch.from_arrays([pa.nulls(1, batch.schema.field(0).type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([part], pa.binary())], names=["doc_id", "n", "class", "block", "part"])
 
@@ -240,9 +241,12 @@ def _neighbours(prefixes: DataFrame) -> DataFrame:
     return out
 
 
-def outline(hashes: np.ndarray) -> bytes:
-    """How many of a set's hashes lie in each of PARTS equal ranges."""
-    return np.minimum(np.bincount((hashes >> np.uint64(64 - PART_BITS)).astype(np.int64), minlength=1 << PART_BITS), 65535).astype("<u2").tobytes()
+def outlines(offs: np.ndarray, hashes: np.ndarray) -> list[bytes]:
+    """How many of each set's hashes lie in each of 2 ** PART_BITS equal ranges."""
+    n = len(offs) - 1
+    cell = (np.repeat(np.arange(n), np.diff(offs)) << PART_BITS) | (hashes >> np.uint64(64 - PART_BITS)).astype(np.int64)
+    held = np.minimum(np.bincount(cell, minlength=n << PART_BITS), 65535).astype("<u2").reshape(n, -1)
+    return [x.tobytes() for x in held]
 
 
 def may_be_similar(n1: np.ndarray, n2: np.ndarray, outlines1: np.ndarray, outlines2: np.ndarray) -> np.ndarray:
@@ -273,9 +277,9 @@ def _sets_of(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                 rows = list({int(names[i]): i for i in rows}.values())
                 seen.update(names[rows].tolist())
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array([hashes[offs[i] : offs[i + 1]].tobytes() for i in rows], pa.binary()), pa.array([outline(hashes[offs[i] : offs[i + 1]]) for i in rows], pa.binary())], names=["class", "set", "outline"])
+                    yield pa.RecordBatch.from_arrays([pa.array(names[rows]), pa.array([hashes[offs[i] : offs[i + 1]].tobytes() for i in rows], pa.binary())], names=["class", "set"])
 
-    return docs.select("text").mapInArrow(run, "class long, set binary, outline binary").dropDuplicates(["class"])
+    return docs.select("text").mapInArrow(run, "class long, set binary").dropDuplicates(["class"])
 
 
 def _bits_of(classes: DataFrame) -> np.ndarray:
@@ -291,10 +295,22 @@ def _bits_of(classes: DataFrame) -> np.ndarray:
     return _summed(classes.mapInArrow(run, "block int, part binary"), "uint8", bits=True)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sets are similar."""
+def _verified(docs: DataFrame, made: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sets are similar. Sets are only sent for pairs that pass the suffix filter."""
     pairs = checkpointed(pairs.select("u", "v").distinct())
-    ids = pairs.select(F.col("u").alias("class")).unionByName(pairs.select(F.col("v").alias("class")))
+    both = pairs.select(F.col("u").alias("class")).unionByName(pairs.select(F.col("v").alias("class"))).distinct()
+    brief = made.where(F.col("block").isNull()).select("class", "n", "part").join(both, "class", "left_semi").groupBy("class").agg(F.first("n").alias("n"), F.first("part").alias("part"))
+
+    def outlined(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(batch.num_rows, -1) for i in (2, 3))
+            ok = may_be_similar(batch.column(4).to_numpy(), batch.column(5).to_numpy(), x, y)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["u", "v"])
+
+    named = lambda k: brief.select(F.col("class").alias(k), F.col("part").alias(f"part_{k}"), F.col("n").alias(f"n_{k}"))
+    likely = pairs.join(named("u"), "u").join(named("v"), "v").select("u", "v", "part_u", "part_v", "n_u", "n_v")
+    likely = checkpointed(likely.mapInArrow(outlined, "u long, v long"))
+    ids = likely.select(F.col("u").alias("class")).unionByName(likely.select(F.col("v").alias("class")))
     sets = stored(_sets_of(docs, _bits_of(ids)), "jaccard-sets")
 
     def run(batches):
@@ -303,14 +319,6 @@ def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             ok = np.array([similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3), strict=True)], bool)
             yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], names=["u", "v"])
 
-    def outlined(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(batch.num_rows, -1) for i in (2, 3))
-            ok = may_be_similar(batch.column(4).to_numpy(), batch.column(5).to_numpy(), x, y)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["u", "v"])
-
-    size = F.floor(F.octet_length("set") / 8).cast("long")
-    brief = lambda k: sets.select(F.col("class").alias(k), F.col("outline").alias(f"outline_{k}"), size.alias(f"n_{k}"))
     full = lambda k: sets.select(F.col("class").alias(k), F.col("set").alias(f"set_{k}"))
     likely = pairs.join(brief("u"), "u").join(brief("v"), "v").select("u", "v", "outline_u", "outline_v", "n_u", "n_v")
     likely = checkpointed(likely.mapInArrow(outlined, "u long, v long"))
@@ -343,9 +351,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = made.where(F.col("block").isNull()).select("doc_id", "n", "class")
     counts = _summed(made.where(F.col("block").isNotNull()), "uint16", bits=False)
     near = _neighbours(_prefixes(docs, rarity(counts)))
-    links = _verified(docs, near.where(F.col("u").isNotNull()))
+    links = _verified(docs, made, near.where(F.col("u").isNotNull()))
     labels = components(links)
-    more = _verified(docs, _across(near, labels))
+    more = _verified(docs, made, _across(near, labels))
     labels = checkpointed(components(links.unionByName(more)))
     classes = rows.where(F.col("n") > 0).groupBy("class").agg(F.min("doc_id").alias("least"))
     named = classes.join(labels, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("root", "class").alias("root"))
