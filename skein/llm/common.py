@@ -168,9 +168,9 @@ def lower_ascii(buf: np.ndarray) -> np.ndarray:
     return _LOWER[buf]
 
 
-def mapped(df: DataFrame, kernel, schema: str) -> DataFrame:
+def mapped(df: DataFrame, kernel, schema: str, rows: int = ARROW_ROWS) -> DataFrame:
     """kernel(batch) over Arrow batches, in the executors; it may return one batch or yield several."""
-    arrow_rows(df.sparkSession)
+    arrow_rows(df.sparkSession, rows)
 
     def run(batches):
         for batch in batches:
