@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from .bpe import op10_byte_bpe
 from .jaccard import op5_jaccard_join
+from .language import op6_language
 from .licenses import op7_license_scan
+from .media import op9_media
 from .mixing import OP4_SQL, op4_mix_sources
 from .pii import op1_pii
 from .quality import op2_quality
@@ -16,7 +18,9 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_language": op6_language,
     "op7_license_scan": op7_license_scan,
+    "op9_media": op9_media,
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLES: dict[str, str] = {"op4_mix_sources": OP4_SQL}
