@@ -196,18 +196,18 @@ def _close(n1, p1, n2, p2) -> np.ndarray:
 
 
 def _neighbours(prefixes: DataFrame) -> DataFrame:
-    """A stored table. pair rows (u, v): neighbours, and each with the first, of the rows of a shingle in order of size.
+    """A stored table. pair rows (u, v): neighbours, and each with the first, of runs of a shingle's rows in order of size.
     Other rows: the prefix rows of shingles that several classes share."""
     tasks = int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        last = None  # the last row, and the first row of its shingle
+        last = None  # the last row, the first row of its run, and whether the last row was written
         for batch in batches:
             t, c, n, p = (batch.column(i).to_numpy() for i in range(4))
             if last is not None:
                 t, c, n, p = (np.concatenate([[x], y]) for x, y in zip(last[0], (t, c, n, p), strict=True))
-            same = np.zeros(len(t), bool)
-            same[1:] = t[1:] == t[:-1]
+            same = np.zeros(len(t), bool)  # as the row before: of one shingle, and not too small or large for each other
+            same[1:] = (t[1:] == t[:-1]) & (100 * n[:-1].astype(np.int64) >= PERCENT * n[1:].astype(np.int64))
             lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(t))))
             fc, fn, fp = c[lead], n[lead], p[lead]
             if last is not None:
@@ -219,20 +219,18 @@ def _neighbours(prefixes: DataFrame) -> DataFrame:
             ok = (u != v) & np.concatenate([_close(n[other - 1], p[other - 1], n[other], p[other]), _close(fn[other], fp[other], n[other], p[other])])
             pairs = np.unique(np.stack([np.minimum(u, v)[ok], np.maximum(u, v)[ok]], axis=1), axis=0)
             near_size = np.zeros(len(t), bool)
-            near_size[1:] = same[1:] & (100 * n[:-1].astype(np.int64) >= PERCENT * n[1:].astype(np.int64)) & (c[1:] != c[:-1])
+            near_size[1:] = same[1:] & (c[1:] != c[:-1])
             shared = near_size.copy()
             shared[:-1] |= near_size[1:]
-            if last is not None and shared[0] and not last[2]:
-                pass  # the row that the last batch ended with: it is written here
-            elif last is not None:
-                shared[0] = False
+            if last is not None and last[2]:
+                shared[0] = False  # written with the last batch
             rows = np.flatnonzero(shared)
             k, m = len(pairs), len(rows)
             if k + m:
                 at = lambda x, t_: pa.array(np.concatenate([np.zeros(k, x.dtype), x[rows]]), t_, mask=np.arange(k + m) < k)
                 of = lambda x: pa.array(np.concatenate([x, np.zeros(m, np.int64)]), pa.int64(), mask=np.arange(k + m) >= k)
                 yield pa.RecordBatch.from_arrays([of(pairs[:, 0]), of(pairs[:, 1]), at(t, pa.int64()), at(c, pa.int64()), at(n, pa.int32()), at(p, pa.int32())], names=["u", "v", "token", "class", "n", "pos"])
-            last = ((t[-1], c[-1], n[-1], p[-1]), (fc[-1], fn[-1], fp[-1]), bool(shared[-1]) or (len(t) == 1 and last is not None and last[2]))
+            last = ((t[-1], c[-1], n[-1], p[-1]), (fc[-1], fn[-1], fp[-1]), bool(shared[-1]))
 
     arrow_rows(prefixes.sparkSession, 50_000)
     dealt = prefixes.repartition(tasks, "token").sortWithinPartitions("token", "n", "class")
@@ -320,8 +318,6 @@ def _verified(docs: DataFrame, made: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], names=["u", "v"])
 
     full = lambda k: sets.select(F.col("class").alias(k), F.col("set").alias(f"set_{k}"))
-    likely = pairs.join(brief("u"), "u").join(brief("v"), "v").select("u", "v", "outline_u", "outline_v", "n_u", "n_v")
-    likely = checkpointed(likely.mapInArrow(outlined, "u long, v long"))
     two = likely.join(full("u"), "u").join(full("v"), "v").select("u", "v", "set_u", "set_v")
     return checkpointed(two.mapInArrow(run, "u long, v long"))
 
