@@ -34,6 +34,8 @@ WORDS, PERCENT = 5, 75
 COUNTERS, BITS, BLOCK = 1 << 22, 1 << 25, 4096
 #: Ranges of the hashes by which the suffix filter compares sets before they are sent.
 PART_BITS = 7
+#: Rows up to which ids to leave out are broadcast; they are joined by shuffle beyond.
+BROADCAST_ROWS = 200_000
 
 
 def needed(sizes: np.ndarray) -> np.ndarray:
@@ -359,5 +361,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.unionByName(rows.where(F.col("n") == 0).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of docs, with all columns, whose doc_id names their component: one of each group stays. Where ids are
+    repeated one row an id stays; rows without an id stay."""
+    found = checkpointed(near_duplicates(docs))
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
+    again = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).limit(1).count()
+    small = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    kept = docs.join(F.broadcast(gone) if small else gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    return kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(kept.where(F.col("doc_id").isNull())) if again else kept
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -86,6 +86,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs that the model doesn't reject."""
-    kept = scored(docs.withColumn("scored_id", F.col("doc_id")), model, [c for c in docs.columns], 5, 0)
-    return kept.where(F.col("predicted") == 1).select(*docs.columns)
+    """The rows of docs, with all columns, that the model doesn't reject."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(sent.value.scores(batch.column(at)) >= THRESHOLD))
+
+    arrow_rows(docs.sparkSession)
+    return docs.mapInArrow(run, docs.schema)

@@ -8,6 +8,7 @@ from .language import op6_language
 from .licenses import op7_license_scan
 from .media import op9_media
 from .mixing import OP4_SQL, op4_mix_sources
+from .neighbours import op8_near_vectors
 from .pii import op1_pii
 from .quality import op2_quality
 from .toxicity import op3_toxicity
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_language": op6_language,
     "op7_license_scan": op7_license_scan,
+    "op8_near_vectors": op8_near_vectors,
     "op9_media": op9_media,
     "op10_byte_bpe": op10_byte_bpe,
 }
