@@ -5,9 +5,9 @@ A document's set holds 64-bit hashes of its distinct 5-word shingles; documents
 
 1. One pass names classes and counts all shingles in a table of fixed size, which gives a global order, rare first.
 2. Each class emits the prefix of its set in that order. Rows that share a shingle and pass the length and positional
-   filters are candidates: at first only neighbours in the order of size, and each with the smallest. Their links join
-   most groups, and shingles that occur within one component need no more pairs. All pairs of different components
-   that still share a prefix shingle follow, so no link that changes a component is lost.
+   filters are candidates: at first only each with the least class of the shingle. Their links join most groups, and
+   shingles that occur within one component need no more pairs. All pairs of different components that still share a
+   prefix shingle follow, so no link that changes a component is lost.
 3. Candidates are verified on whole sets, once a pair, after the suffix filter.
 
 Contract for odd inputs: null and empty texts and texts without words have empty sets and link with nothing; fewer than
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, checkpointed, chunks, lower_ascii, mix64, stored, table, text_bytes, token_hashes, token_spans
@@ -191,39 +191,38 @@ def _prefixes(docs: DataFrame, levels: np.ndarray) -> DataFrame:
 
 
 def _close(n1, p1, n2, p2) -> np.ndarray:
-    """Length and positional filters of two rows that share a shingle."""
+    """Length and positional filters of two rows that share a shingle: if it is the first that they share, what is left
+    of either set, itself included, bounds their overlap. Similar sets pass at least at their first shared shingle."""
     n1, n2, p1, p2 = (x.astype(np.int64) for x in (n1, n2, p1, p2))
-    most = np.minimum(p1, p2) + 1 + np.minimum(n1 - p1, n2 - p2) - 1
-    return (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2)) & (most >= needed(n1 + n2))
+    return (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2)) & (np.minimum(n1 - p1, n2 - p2) >= needed(n1 + n2))
 
 
-def _neighbours(prefixes: DataFrame) -> DataFrame:
-    """A stored table. pair rows (u, v): neighbours, and each with the first, of runs of a shingle's rows in order of size.
-    Other rows: the prefix rows of shingles that several classes share."""
+def _leaders(prefixes: DataFrame) -> DataFrame:
+    """A stored table. Rows (u, v): each class with the least class of a shingle that both have. Other rows: the prefix
+    rows of shingles that several classes share."""
     tasks = int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        last = None  # the last row, the first row of its run, and whether the last row was written
+        last = None  # the last row, the first row of its shingle, and whether the last row was written
         for batch in batches:
             t, c, n, p = (batch.column(i).to_numpy() for i in range(4))
             if last is not None:
                 t, c, n, p = (np.concatenate([[x], y]) for x, y in zip(last[0], (t, c, n, p), strict=True))
-            same = np.zeros(len(t), bool)  # as the row before: of one shingle, and not too small or large for each other
-            same[1:] = (t[1:] == t[:-1]) & (100 * n[:-1].astype(np.int64) >= PERCENT * n[1:].astype(np.int64))
+            same = np.zeros(len(t), bool)
+            same[1:] = t[1:] == t[:-1]
             lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(t))))
-            fc, fn, fp = c[lead], n[lead], p[lead]
+            first = [x[lead] for x in (c, n, p)]
             if last is not None:
-                old = lead == 0
-                fc, fn, fp = (np.where(old, x, y) for x, y in zip(last[1], (fc, fn, fp), strict=True))
-            other = np.flatnonzero(same)
-            u = np.concatenate([c[other - 1], fc[other]])
-            v = np.concatenate([c[other], c[other]])
-            ok = (u != v) & np.concatenate([_close(n[other - 1], p[other - 1], n[other], p[other]), _close(fn[other], fp[other], n[other], p[other])])
-            pairs = np.unique(np.stack([np.minimum(u, v)[ok], np.maximum(u, v)[ok]], axis=1), axis=0)
-            near_size = np.zeros(len(t), bool)
-            near_size[1:] = same[1:] & (c[1:] != c[:-1])
-            shared = near_size.copy()
-            shared[:-1] |= near_size[1:]
+                first = [np.where(lead == 0, x, y) for x, y in zip(last[1], first, strict=True)]
+            fc, fn, fp = first
+            new = same.copy()
+            new[1:] &= c[1:] != c[:-1]
+            x = np.flatnonzero(new)
+            x = x[_close(fn[x], fp[x], n[x], p[x]) & (fc[x] != c[x])]
+            pairs = np.unique(np.stack([np.minimum(fc[x], c[x]), np.maximum(fc[x], c[x])], axis=1), axis=0)
+            shared = new.copy()
+            shared[:-1] |= new[1:]
+            written = bool(shared[-1])
             if last is not None and last[2]:
                 shared[0] = False  # written with the last batch
             rows = np.flatnonzero(shared)
@@ -232,10 +231,10 @@ def _neighbours(prefixes: DataFrame) -> DataFrame:
                 at = lambda x, t_: pa.array(np.concatenate([np.zeros(k, x.dtype), x[rows]]), t_, mask=np.arange(k + m) < k)
                 of = lambda x: pa.array(np.concatenate([x, np.zeros(m, np.int64)]), pa.int64(), mask=np.arange(k + m) >= k)
                 yield pa.RecordBatch.from_arrays([of(pairs[:, 0]), of(pairs[:, 1]), at(t, pa.int64()), at(c, pa.int64()), at(n, pa.int32()), at(p, pa.int32())], names=["u", "v", "token", "class", "n", "pos"])
-            last = ((t[-1], c[-1], n[-1], p[-1]), (fc[-1], fn[-1], fp[-1]), bool(shared[-1]))
+            last = ((t[-1], c[-1], n[-1], p[-1]), (fc[-1], fn[-1], fp[-1]), written)
 
     arrow_rows(prefixes.sparkSession, 50_000)
-    dealt = prefixes.repartition(tasks, "token").sortWithinPartitions("token", "n", "class")
+    dealt = prefixes.repartition(tasks, "token").sortWithinPartitions("token", "class")
     out = stored(dealt.mapInArrow(run, "u long, v long, token long, class long, n int, pos int"), "jaccard-near")
     arrow_rows(prefixes.sparkSession)
     return out
@@ -325,22 +324,25 @@ def _verified(docs: DataFrame, made: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _across(near: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidates of different components: what shares a prefix shingle and passes the filters, by all shared ones."""
+    """All candidates of different components that aren't pairs of _leaders: they share a prefix shingle and pass the
+    length and positional filters. Where two rows also share the shingle before, they were paired there."""
     rows = near.where(F.col("token").isNotNull()).select("token", "class", "n", "pos").distinct().join(labels, F.col("class") == F.col("node"), "left")
     rows = rows.select("token", "class", "n", "pos", F.coalesce("root", "class").alias("root"))
-    # up to three classes of a shingle were all paired as neighbours and with the first
     several = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held"))
-    mixed = several.where((F.col("low") < F.col("high")) & (F.col("held") > 3)).select("token")
-    rows = stored(rows.join(mixed, "token", "left_semi"), "jaccard-mixed")
+    mixed = several.where((F.col("low") < F.col("high")) & (F.col("held") > 2)).select("token")
+    before = F.lag("token").over(Window.partitionBy("class").orderBy("pos"))
+    rows = stored(rows.join(mixed, "token", "left_semi").withColumn("before", before), "jaccard-mixed")
     x, y = rows.alias("x"), rows.alias("y")
-    meet = x.join(y, F.col("x.token") == F.col("y.token")).where(
-        (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
+    both = F.col("x.n") + F.col("y.n")
+    meet = (
+        (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.class") < F.col("y.class"))
+        & (F.col("x.root") != F.col("y.root"))
+        & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n"))
+        & (F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + PERCENT) >= PERCENT * both)
+        & ~F.coalesce(F.col("x.before") == F.col("y.before"), F.lit(False))
     )
-    pair = meet.groupBy(F.col("x.class").alias("u"), F.col("y.class").alias("v")).agg(
-        F.count("*").alias("both"), F.max("x.pos").alias("pu"), F.max("y.pos").alias("pv"), F.first("x.n").alias("nu"), F.first("y.n").alias("nv")
-    )
-    most = F.col("both") + F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv")) - 1
-    return pair.where(most * (100 + PERCENT) >= PERCENT * (F.col("nu") + F.col("nv"))).select("u", "v")
+    return x.join(y, meet).select(F.col("x.class").alias("u"), F.col("y.class").alias("v"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -348,7 +350,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     made = _classified(docs)
     rows = made.where(F.col("block").isNull()).select("doc_id", "n", "class")
     counts = _summed(made.where(F.col("block").isNotNull()), "uint16", bits=False)
-    near = _neighbours(_prefixes(docs, rarity(counts)))
+    near = _leaders(_prefixes(docs, rarity(counts)))
     links = _verified(docs, made, near.where(F.col("u").isNotNull()))
     labels = components(links)
     more = _verified(docs, made, _across(near, labels))
