@@ -7,6 +7,7 @@ time. An image without restart markers is one such lane.
 
 from __future__ import annotations
 
+import re
 import struct
 from dataclasses import dataclass, field
 
@@ -43,21 +44,23 @@ class Image:
     comments: list[bytes] = field(default_factory=list)
     base: list[int] = field(default_factory=list)
 
-    @property
-    def mcus(self) -> tuple[int, int]:
-        h, v = max(s[0] for s in self.sampling), max(s[1] for s in self.sampling)
-        return -(-self.height // (8 * v)), -(-self.width // (8 * h))
+    def __post_init__(self) -> None:
+        hm, vm = max(s[0] for s in self.sampling), max(s[1] for s in self.sampling)
+        self.mcus = rows, cols = -(-self.height // (8 * vm)), -(-self.width // (8 * hm))
+        self._grid = [(rows * v, cols * h) for h, v in self.sampling]
+        self._shown = [(-(-(-(-self.height * v // vm)) // 8), -(-(-(-self.width * h // hm)) // 8)) for h, v in self.sampling]
 
     def grid(self, part: int) -> tuple[int, int]:
         """Rows and columns of a component's blocks, padded to whole MCUs."""
-        rows, cols = self.mcus
-        h, v = self.sampling[part]
-        return rows * v, cols * h
+        return self._grid[part]
 
     def shown(self, part: int) -> tuple[int, int]:
         """Rows and columns of blocks that a scan of this component alone holds."""
-        (h, v), hm, vm = self.sampling[part], max(s[0] for s in self.sampling), max(s[1] for s in self.sampling)
-        return -(-(-(-self.height * v // vm)) // 8), -(-(-(-self.width * h // hm)) // 8)
+        return self._shown[part]
+
+
+#: A marker that is neither a stuffed byte nor a restart.
+_MARKER = re.compile(rb"\xff[^\x00\xd0-\xd7]", re.DOTALL).search
 
 
 def parse(raw: bytes) -> Image:
@@ -103,12 +106,10 @@ def parse(raw: bytes) -> Image:
             ids = [c[0] for c in frame]
             parts = tuple(ids.index(body[1 + 2 * i]) for i in range(n))
             start, end, approx = body[1 + 2 * n : 4 + 2 * n]
-            end_at = at
-            while True:  # the next marker that is neither a stuffed byte nor a restart
-                end_at = raw.index(b"\xff", end_at)
-                if raw[end_at + 1] != 0 and not 0xD0 <= raw[end_at + 1] <= 0xD7:
-                    break
-                end_at += 2
+            found = _MARKER(raw, at)
+            if found is None:
+                raise ValueError("a scan has no end")
+            end_at = found.start()
             tables = [(huff.get(body[2 + 2 * i] >> 4, b""), huff.get(0x10 | (body[2 + 2 * i] & 15), b"")) for i in range(n)]
             scans.append(Scan(parts, start, end, approx >> 4, approx & 15, tuple(t[0] for t in tables), tuple(t[1] for t in tables), restart, raw[at:end_at]))
             at = end_at
@@ -134,6 +135,21 @@ def lookup(spec: bytes) -> np.ndarray:
     return _TABLES[spec]
 
 
+_DIRECT: dict[bytes, np.ndarray] = {}
+
+
+def direct(spec: bytes) -> np.ndarray:
+    """For all 16-bit strings that begin with an AC code and all bits of its value: value << 16 | run << 5 | bits used.
+    0 where the string is too short or the symbol has no value."""
+    if spec not in _DIRECT:
+        entry = lookup(spec)
+        length, s, r = entry >> 8, entry & 15, (entry & 255) >> 4
+        used = length + s
+        v = (np.arange(1 << 16) >> np.maximum(16 - used, 0)) & ((1 << s) - 1)
+        _DIRECT[spec] = np.where((s > 0) & (used <= 16), _extend(v, s) << 16 | r << 5 | used, 0).astype(np.int32)
+    return _DIRECT[spec]
+
+
 def intervals(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entropy-coded bytes without stuffing and restart markers, and where each interval begins."""
     ff = np.flatnonzero(data[:-1] == 0xFF) if len(data) else np.zeros(0, np.int64)
@@ -159,41 +175,51 @@ def _extend(v: np.ndarray, s: np.ndarray) -> np.ndarray:
     return np.where(v < (1 << np.maximum(s - 1, 0)), v - (1 << s) + 1, v)
 
 
-def _first_ac(coefs, bits, table, pos, base, left, start, end, low) -> None:
-    k = np.full(len(pos), start)
+def _first_ac(coefs, bits, spec, pos, base, left, start, end, low) -> None:
+    table, quick = lookup(spec), direct(spec)
+    at, stop = base + start, base + end  # the coefficient that comes next, and the last of the band in its block
     window = bits.window
     while len(pos):
         w, sh = window[pos >> 3], pos & 7
-        entry = table[(w >> (24 - sh)) & 0xFFFF]
-        length, symbol = entry >> 8, entry & 255
-        s, r = symbol & 15, symbol >> 4
-        used = length + s
-        v = (w >> (40 - sh - used)) & ((1 << s) - 1)
-        pos = pos + used
-        k += r
-        put = s > 0
-        if put.all():
-            coefs[base + k] = _extend(v, s) << low
+        entry = quick[(w >> (24 - sh)) & 0xFFFF]
+        at += (entry >> 5) & 15
+        odd = np.flatnonzero(entry == 0)
+        if len(odd):
+            _odd_symbols(coefs, window, table, odd, pos, at, stop, left, w, sh, low)
+            put = entry != 0
+            coefs[at[put]] = (entry[put] >> 16) << low
         else:
-            coefs[(base + k)[put]] = _extend(v[put], s[put]) << low
-        k += 1
-        ends = (s == 0) & (r < 15)
-        if ends.any():
-            e = np.flatnonzero(ends)
-            w, sh, n = window[pos[e] >> 3], pos[e] & 7, r[e]
-            run = (1 << n) + ((w >> (40 - sh - n)) & ((1 << n) - 1))
-            pos[e] += n
-            base[e] += 64 * (run - 1)
-            left[e] -= run - 1
-            k[e] = end + 1
-        full = k > end
-        if full.any():
-            base += 64 * full
-            left -= full
-            k[full] = start
-            on = left > 0
-            if not on.all():
-                pos, base, left, k = pos[on], base[on], left[on], k[on]
+            coefs[at] = (entry >> 16) << low
+        pos += entry & 31
+        at += 1
+        full = np.flatnonzero(at > stop)
+        if len(full):
+            stop[full] += 64
+            at[full] = stop[full] - (end - start)
+            left[full] -= 1
+            if (left[full] <= 0).any():
+                on = left > 0
+                pos, at, stop, left = pos[on], at[on], stop[on], left[on]
+
+
+def _odd_symbols(coefs, window, table, odd, pos, at, stop, left, w, sh, low) -> None:
+    """Symbols that the direct table doesn't hold: long values, runs of 16 zeros, and ends of bands."""
+    entry = table[(w[odd] >> (24 - sh[odd])) & 0xFFFF]
+    length, s, r = entry >> 8, entry & 15, (entry & 255) >> 4
+    ends = (s == 0) & (r < 15)
+    more = np.where(ends, r, s)
+    pos[odd] += length
+    w2, sh2 = window[pos[odd] >> 3], pos[odd] & 7
+    v = (w2 >> (40 - sh2 - more)) & ((1 << more) - 1)
+    pos[odd] += more
+    at[odd] += np.where(ends, 0, r)
+    value = s > 0
+    coefs[at[odd[value]]] = _extend(v[value], s[value]) << low
+    blocks = odd[ends]
+    skip = (1 << r[ends]) + v[ends] - 1  # whole blocks beyond this one
+    stop[blocks] += 64 * skip
+    left[blocks] -= skip
+    at[blocks] = stop[blocks]
 
 
 def _refine_ac(coefs, bits, table, pos, base, left, start, end, low) -> None:
@@ -258,8 +284,8 @@ def _dc(coefs, bits, tables, pos, blocks, high, low) -> None:
 
 def _alone(img: Image, part: int) -> np.ndarray:
     """Block numbers of a component in the order of a scan of it alone."""
-    rows, cols = img.shown(part)
-    return (np.arange(rows)[:, None] * img.grid(part)[1] + np.arange(cols)).ravel()
+    (rows, cols), wide = img.shown(part), img.grid(part)[1]
+    return np.arange(rows * cols) if cols == wide else (np.arange(rows)[:, None] * wide + np.arange(cols)).ravel()
 
 
 def _together(img: Image, parts: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -315,49 +341,104 @@ def _decode(coefs: np.ndarray, key: tuple, held: list[tuple[Image, Scan]]) -> No
     starts = starts[:-1]  # every scan was closed by a mark
     bits = Bits(raw)
     if start == 0:
-        units, owner = [], np.array([0])
+        lanes, owner = [], np.array([0])
         for img, s in held:
-            b, own = _together(img, s.parts) if together is not True else ((_alone(img, s.parts[0]) * 64 + img.base[s.parts[0]])[:, None], np.array([0]))
-            step = s.restart or len(b)
-            lanes = -(-len(b) // step)
-            b = np.concatenate([b, np.full((lanes * step - len(b), b.shape[1]), -1)]).reshape(lanes, -1)
-            units.append(b)
-            owner = own
-        wide = max(b.shape[1] for b in units)
-        bases = np.concatenate([np.pad(b, ((0, 0), (0, wide - b.shape[1])), constant_values=-1) for b in units])
+            if together is True:
+                order, owner = (_alone(img, s.parts[0]) * 64 + img.base[s.parts[0]])[:, None], np.array([0])
+            else:
+                order, owner = _together(img, s.parts)
+            step = s.restart or len(order)
+            whole = len(order) // step
+            if whole:
+                lanes.append(order[: whole * step].reshape(whole, -1))
+            if whole * step < len(order):
+                lanes.append(order[whole * step :].reshape(1, -1))
+        wide = max(x.shape[1] for x in lanes)
+        bases = np.full((sum(len(x) for x in lanes), wide), -1)
+        at = 0
+        for x in lanes:
+            bases[at : at + len(x), : x.shape[1]] = x
+            at += len(x)
         of = {int(p): lookup(tables[list(dict.fromkeys(owner.tolist())).index(p)]) for p in np.unique(owner)} if not high else {}
         _dc(coefs, bits, of, starts * 8, (bases, np.resize(owner, wide)), high, low)
         return
-    base, left = [], []
+    totals, firsts, steps = [], [], []
     for img, s in held:
         rows, cols = img.shown(s.parts[0])
         if cols != img.grid(s.parts[0])[1]:
             raise ValueError("scans of a component whose rows aren't whole MCUs are not supported")
-        total, first = rows * cols, img.base[s.parts[0]]
-        step = s.restart or total
-        begin = np.arange(0, total, step)
-        base.append(first + begin * 64)
-        left.append(np.minimum(step, total - begin))
-    args = (coefs, bits, lookup(tables[0]), starts * 8, np.concatenate(base), np.concatenate(left), start, end, low)
-    (_refine_ac if high else _first_ac)(*args)
-
-
-def pixels(img: Image, coefs: np.ndarray) -> np.ndarray:
-    """height x width x 3 RGB bytes: dequantised, transformed, chroma repeated to full size."""
-    planes = []
+        totals.append(rows * cols)
+        firsts.append(img.base[s.parts[0]])
+        steps.append(s.restart or rows * cols)
+    total, first, step = np.array(totals), np.array(firsts), np.array(steps)
+    count = -(-total // step)
+    owner = np.repeat(np.arange(len(total)), count)
+    begin = (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)) * step[owner]
+    base, left = first[owner] + begin * 64, np.minimum(step[owner], total[owner] - begin)
+    lanes = (starts * 8, base, left, start, end, low)
+    if high:
+        _refine_ac(coefs, bits, lookup(tables[0]), *lanes)
+    else:
+        _first_ac(coefs, bits, tables[0], *lanes)
+
+
+def samples(images: list[Image], coefs: np.ndarray) -> np.ndarray:
+    """All blocks' samples, 0 to 255, in rows of 64: dequantised and transformed."""
+    out = np.empty(coefs.shape, np.uint8)
+    groups: dict[bytes, list[tuple[int, int]]] = {}
+    for img in images:
+        for p, q in enumerate(img.quant):
+            rows, cols = img.grid(p)
+            own = groups.setdefault(np.asarray(q, np.int64).tobytes(), [])
+            first = img.base[p] // 64
+            if own and own[-1][1] == first:
+                own[-1] = (own[-1][0], first + rows * cols)
+            else:
+                own.append((first, first + rows * cols))
+    for q, spans in groups.items():
+        basis = INVERSE[ZIGZAG] * np.frombuffer(q, np.int64)[:, None]
+        for a, b in spans:
+            for k in range(a, b, 8192):
+                x = coefs[k : min(b, k + 8192)].astype(np.float64) @ basis
+                x *= 1 / SCALE
+                x += 128.5
+                np.clip(x, 0, 255, out=x)
+                out[k : k + len(x)] = x
+    return out
+
+
+_CHROMA = np.arange(-128, 128)
+_RED, _BLUE = (np.rint(c * _CHROMA).astype(np.int16) for c in (1.402, 1.772))
+_GREEN = [(np.rint(c * _CHROMA * (1 << 16))).astype(np.int64) for c in (-0.344136, -0.714136)]
+
+
+def pixels(img: Image, blocks: np.ndarray) -> np.ndarray:
+    """height x width x 3 RGB bytes of an image among all samples: chroma is repeated to full size."""
     hm, vm = max(s[0] for s in img.sampling), max(s[1] for s in img.sampling)
-    for p, (h, v) in enumerate(img.sampling):
+
+    def plane(p: int) -> np.ndarray:
         rows, cols = img.grid(p)
-        own = coefs[img.base[p] // 64 : img.base[p] // 64 + rows * cols].astype(np.float64) * img.quant[p]
-        natural = np.empty_like(own)
-        natural[:, ZIGZAG] = own
-        plane = np.clip(np.floor((natural @ INVERSE) / SCALE + 128.5), 0, 255).reshape(rows, cols, 8, 8).swapaxes(1, 2).reshape(rows * 8, cols * 8)
-        planes.append(np.repeat(np.repeat(plane, vm // v, axis=0), hm // h, axis=1)[: img.height, : img.width])
-    if len(planes) == 1:
-        return np.repeat(planes[0][:, :, None], 3, axis=2).astype(np.uint8)
-    y, cb, cr = planes[0], planes[1] - 128, planes[2] - 128
-    rgb = np.stack([y + 1.402 * cr, y - 0.344136 * cb - 0.714136 * cr, y + 1.772 * cb], axis=2)
-    return np.clip(np.floor(rgb + 0.5), 0, 255).astype(np.uint8)
+        own = blocks[img.base[p] // 64 : img.base[p] // 64 + rows * cols]
+        return own.reshape(rows, cols, 8, 8).swapaxes(1, 2).reshape(rows * 8, cols * 8)
+
+    def full(x: np.ndarray, p: int) -> np.ndarray:
+        h, v = img.sampling[p]
+        x = np.repeat(x, hm // h, axis=1) if hm > h else x
+        return (np.repeat(x, vm // v, axis=0) if vm > v else x)[: img.height, : img.width]
+
+    y = full(plane(0), 0)
+    if len(img.sampling) == 1:
+        return np.repeat(y[:, :, None], 3, axis=2)
+    y = y.astype(np.int16)
+    cb, cr = plane(1), plane(2)
+    out = np.empty((img.height, img.width, 3), np.uint8)
+    if cb.shape == cr.shape:
+        green = full(((_GREEN[0][cb] + _GREEN[1][cr] + (1 << 15)) >> 16).astype(np.int16), 1)
+    else:
+        green = ((_GREEN[0][full(cb, 1)] + _GREEN[1][full(cr, 2)] + (1 << 15)) >> 16).astype(np.int16)
+    for c, shift in enumerate((full(_RED[cr], 2), green, full(_BLUE[cb], 1))):
+        out[:, :, c] = np.clip(y + shift, 0, 255)
+    return out
 
 
 # Encoder ------------------------------------------------------------------------------------------------------------
@@ -386,38 +467,36 @@ def _codes(spec: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _packed(values: np.ndarray, lengths: np.ndarray, lane: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all lanes, each padded with ones to whole bytes, with stuffing; and each lane's end in them."""
-    size = np.bincount(lane, lengths, lanes).astype(np.int64)
-    begin = np.concatenate([[0], np.cumsum(-(-size // 8) * 8)])
+    """Bytes of all lanes, each padded with ones to whole bytes, with stuffing; and each lane's end in them. Entries come
+    in order of lanes."""
+    ends = np.searchsorted(lane, np.arange(lanes), "right")
+    sums = np.concatenate([[0], np.cumsum(lengths)])
+    size = np.diff(sums[np.concatenate([[0], ends])])
     pad = -size % 8
+    begin = np.concatenate([[0], np.cumsum(size + pad)])
+    values, lengths = np.insert(values, ends, (1 << pad) - 1), np.insert(lengths, ends, pad)
     at = np.cumsum(lengths) - lengths
-    first = np.concatenate([[0], np.cumsum(size)])[:-1]
-    at = at - first[lane] + begin[lane]
-    keep = pad > 0
-    at = np.concatenate([at, (begin[:-1] + size)[keep]])
-    values, lengths = np.concatenate([values, ((1 << pad) - 1)[keep]]), np.concatenate([lengths, pad[keep]])
-    order = np.argsort(at, kind="stable")
-    at, values, lengths = at[order], values[order], lengths[order]
     shifted = values.astype(np.uint64) << (64 - (at & 31) - lengths).astype(np.uint64)
     word = at >> 5
     out = np.zeros(int(begin[-1] // 32) + 3, np.uint64)
-    heads = np.flatnonzero(np.diff(word, prepend=-1))
+    heads = np.flatnonzero(word[1:] != word[:-1]) + 1
+    heads = np.concatenate([[0], heads]) if len(word) else heads
     if len(heads):
         out[word[heads]] += np.add.reduceat(shifted >> np.uint64(32), heads)
         out[word[heads] + 1] += np.add.reduceat(shifted & np.uint64(0xFFFFFFFF), heads)
     raw = out.astype(">u4").view(np.uint8)[: begin[-1] // 8]
-    ff = raw == 0xFF
-    before = np.concatenate([[0], np.cumsum(ff)])
-    full = np.zeros(len(raw) + int(before[-1]), np.uint8)
-    full[np.arange(len(raw)) + before[:-1]] = raw
-    ends = begin[1:] // 8
-    return full, ends + before[ends]
+    ff = np.flatnonzero(raw == 0xFF)
+    stops = begin[1:] // 8
+    return np.insert(raw, ff + 1, 0), stops + np.searchsorted(ff, stops)
 
 
-def _bits_of(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Size and bits of values as they follow a code."""
+def _tables(spec: bytes, symbol_of) -> tuple[np.ndarray, np.ndarray]:
+    """Bits and length of code and value, by value + 512."""
+    v = np.arange(-512, 513)
     size = np.ceil(np.log2(np.abs(v) + 1.0)).astype(np.int64)
-    return size, np.where(v < 0, v + (1 << size) - 1, v)
+    code, length = _codes(spec)
+    s = symbol_of(size)
+    return (code[s] << size) | np.where(v < 0, v + (1 << size) - 1, v), length[s] + size
 
 
 def _encode_dc(v: np.ndarray, lane: np.ndarray, low: int):
@@ -425,39 +504,36 @@ def _encode_dc(v: np.ndarray, lane: np.ndarray, low: int):
     diff = np.diff(now, prepend=0)
     heads = np.flatnonzero(np.diff(lane, prepend=-1))
     diff[heads] = now[heads]
-    size, tail = _bits_of(diff)
-    code, length = _codes(DC_SPEC)
-    return (code[size] << size) | tail, length[size] + size, lane
+    values, lengths = _tables(DC_SPEC, lambda size: size)
+    return values[diff + 512], lengths[diff + 512], lane
 
 
 def _encode_ac(v: np.ndarray, lane: np.ndarray, low: int):
     """First scan of a band: v is blocks x band."""
-    now = np.sign(v) * (np.abs(v) >> low)
+    now = np.sign(v) * (np.abs(v) >> low) if low else v
     code, length = _codes(AC_SPEC)
+    by_value, by_length = _tables(AC_SPEC, lambda size: size)
     n, wide = now.shape
-    block, k = np.nonzero(now)
-    prev = np.full(len(k), -1)
-    same = block[1:] == block[:-1]
-    prev[1:][same] = k[:-1][same]
-    run = k - prev - 1
-    size, tail = _bits_of(now[block, k])
-    symbol = (run % 16) << 4 | size
-    values, lengths, key = [(code[symbol] << size) | tail], [length[symbol] + size], [block * 256 + k * 4 + 1]
-    skips = run // 16
-    if skips.any():
-        many = np.repeat(np.arange(len(k)), skips)
-        values.append(np.full(len(many), code[0xF0]))
-        lengths.append(np.full(len(many), length[0xF0]))
-        key.append(block[many] * 256 + k[many] * 4)
-    last = np.full(n, -1)
-    last[block] = k
-    open_ = np.flatnonzero(last < wide - 1)
-    values.append(np.full(len(open_), code[0]))
-    lengths.append(np.full(len(open_), length[0]))
-    key.append(open_ * 256 + 255)
-    key = np.concatenate(key)
-    order = np.argsort(key, kind="stable")
-    return np.concatenate(values)[order], np.concatenate(lengths)[order], lane[key[order] >> 8]
+    flat = np.ascontiguousarray(now).ravel()
+    hit = np.flatnonzero(flat)
+    values, lengths = by_value[flat[hit] + 512], by_length[flat[hit] + 512]
+    block = hit // wide
+    gap = np.diff(hit, prepend=-1) - 1
+    new = np.diff(block, prepend=-1) > 0
+    gap[new] = hit[new] % wide  # zeros before a block's first value
+    far = np.flatnonzero(gap)
+    if len(far):
+        value = flat[hit[far]]
+        size = np.ceil(np.log2(np.abs(value) + 1.0)).astype(np.int64)
+        symbol = (gap[far] % 16) << 4 | size
+        values[far] = (code[symbol] << size) | np.where(value < 0, value + (1 << size) - 1, value)
+        lengths[far] = length[symbol] + size
+    at = lane[block]
+    open_ = np.flatnonzero(now[:, -1] == 0)  # ends of bands, after a block's values
+    skips = np.repeat(far, gap[far] // 16)  # runs of 16 zeros, before the value
+    where = np.concatenate([np.searchsorted(block, open_, "right"), skips])
+    extra = np.concatenate([np.zeros(len(open_), np.int64), np.full(len(skips), 0xF0)])
+    return np.insert(values, where, code[extra]), np.insert(lengths, where, length[extra]), np.insert(at, where, np.concatenate([lane[open_], at[skips]]))
 
 
 def _encode_refined(v: np.ndarray, lane: np.ndarray):
@@ -495,7 +571,7 @@ def encode(coefs: np.ndarray, shapes: list[tuple[int, int]], comments: list[byte
     lane_base = np.concatenate([[0], np.cumsum(lanes_of)])
     owner = np.repeat(np.arange(len(total)), total)
     lane = lane_base[owner] + (np.arange(len(coefs)) - first[owner]) // RESTART
-    v = coefs.astype(np.int64)
+    v = coefs.astype(np.int32)
     low_ac, high_ac = v[:, 1 : TWO_STEPS + 1], v[:, TWO_STEPS + 1 :]
     steps = [
         ((0, 0, 0, 1), _encode_dc(v[:, 0], lane, 1)),

@@ -22,7 +22,7 @@ from .common import chunks, mapped, table, text_bytes
 #: Payloads are padded to a multiple of this; coefficients in an MCU; MCUs in a row of a small image, and at most.
 UNIT, MCU, ROW, MOST = 576, 384, 64, 4095
 #: Bytes of texts that are coded side by side.
-SIDE_BY_SIDE = 3 << 20
+SIDE_BY_SIDE = 3 << 18
 
 
 def payload(raw: np.ndarray) -> np.ndarray:
@@ -67,7 +67,7 @@ def load(files: list[bytes]) -> tuple[list[jpeg.Image], np.ndarray, list[np.ndar
 
 def feature(rgb: np.ndarray) -> str:
     """Height, width and the mean of each colour in thousandths."""
-    means = rgb.reshape(-1, 3).sum(axis=0, dtype=np.int64) * 1000 // (rgb.shape[0] * rgb.shape[1])
+    means = rgb.reshape(rgb.shape[0], -1).sum(axis=0, dtype=np.int64).reshape(-1, 3).sum(axis=0) * 1000 // (rgb.shape[0] * rgb.shape[1])
     return f"{rgb.shape[0]}x{rgb.shape[1]}:" + ",".join(map(str, means.tolist()))
 
 
@@ -95,7 +95,7 @@ def tensors(media: DataFrame, column: str = "media", key: str = "doc_id") -> Dat
     def one(raw: bytes | None):
         try:
             img = jpeg.parse(raw or b"")
-            rgb = jpeg.pixels(img, jpeg.coefficients([img]))
+            rgb = jpeg.pixels(img, jpeg.samples([img], jpeg.coefficients([img])))
             return rgb.shape[0], rgb.shape[1], rgb.tobytes()
         except (ValueError, IndexError, KeyError, TypeError, struct.error):
             return None, None, None
@@ -113,7 +113,7 @@ def media_digests(docs: DataFrame) -> DataFrame:
     def kernel(batch: pa.RecordBatch):
         for a, b, files in _texts(batch.column(1)):
             images, coefs, payloads, lengths = load(files)
-            raw = [p.tobytes() for p in payloads]
+            raw, blocks = [p.tobytes() for p in payloads], jpeg.samples(images, coefs)
             cols = [
                 pa.array(lengths, pa.int64()),
                 pa.array([len(x) for x in raw], pa.int64()),
@@ -121,7 +121,7 @@ def media_digests(docs: DataFrame) -> DataFrame:
                 pa.array([zlib.crc32(x[-32:]) for x in raw], pa.int64()),
                 pa.array([len(f) for f in files], pa.int64()),
                 pa.array([hashlib.sha256(f).hexdigest() for f in files]),
-                pa.array([feature(jpeg.pixels(img, coefs)) for img in images]),
+                pa.array([feature(jpeg.pixels(img, blocks)) for img in images]),
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], *cols], names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
