@@ -23,7 +23,7 @@ from .common import arrow_rows, chunks, fold_of, mix64, table, text_bytes
 from .linear import collected_features, labelled_sample, sigmoid
 
 #: Documents of each language that are learnt from, at most; and the features' hash bits.
-SAMPLE, BITS = 800, 13
+SAMPLE, BITS = 400, 13
 GRAMS = (1, 2, 3, 4)
 #: Families of language codes.
 FAMILIES = {

@@ -77,7 +77,7 @@ def collected_features(sample: DataFrame, label: str, make) -> tuple[list[np.nda
     kinds = [sample.schema[c].dataType.simpleString() for c in ("doc_id", label)]
     rows = sample.select("doc_id", "text", label).mapInArrow(run, f"doc_id {kinds[0]}, f binary, y {kinds[1]}").collect()
     rows.sort(key=lambda r: (r[0], r[1]))
-    return [np.frombuffer(r[1], "<i4").astype(np.int64) for r in rows], np.array([r[2] for r in rows])
+    return [np.frombuffer(r[1], "<i4") for r in rows], np.array([r[2] for r in rows])
 
 
 def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int, passes: int, costs: np.ndarray, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5) -> np.ndarray:
