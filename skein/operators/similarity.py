@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import token_set
+from ..functions.text import jaccard, token_set
 
 TOP, LEAST_COSINE, LEAST_JACCARD, SAME = 4, 0.40, 0.30, 0.65
 #: Blocks into which either side of a vector comparison is dealt.
@@ -62,15 +62,23 @@ def vector_pairs(new: DataFrame, all_: DataFrame, top: int = TOP, least: float =
 
 
 def token_pairs(new: DataFrame, all_: DataFrame, least: float = LEAST_JACCARD) -> DataFrame:
-    """a, b, sim of rows (id, source, text) of different sources by an equi-join on tokens: the number of shared tokens and
-    both sizes give the exact similarity."""
+    """a, b, sim of rows (id, source, text) of different sources. Sets that are similar share a token among the rarest
+    n - ceil(least * n) + 1 of either; only those are joined, and each pair is then compared whole, once."""
     sets = lambda df: df.select("id", "source", token_set(F.col("text")).alias("tokens"))
-    spread = lambda df, k: sets(df).select(F.col("id").alias(k), F.col("source").alias(f"s{k}"), F.size("tokens").alias(f"n{k}"), F.explode("tokens").alias("token"))
-    x, y = spread(new, "x"), spread(all_, "y")
-    met = x.join(y, "token").where((F.col("x") != F.col("y")) & ~F.col("sx").eqNullSafe(F.col("sy")))
-    both = met.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("both"))
-    sim = F.col("both") / (F.col("nx") + F.col("ny") - F.col("both"))
-    kept = both.withColumn("sim", sim).where(F.col("sim") >= least)
+    x, y = sets(new), sets(all_)
+    each = lambda df: df.select("id", "source", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    spread = each(y).groupBy("token").agg(F.count("*").alias("df"))
+    rare = Window.partitionBy("id").orderBy("df", "token")
+
+    def prefix(df: DataFrame, k: str) -> DataFrame:
+        placed = each(df).join(spread, "token", "left").withColumn("place", F.row_number().over(rare))
+        return placed.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * least) + 1).select("token", F.col("id").alias(k), F.col("source").alias(f"s{k}"), F.col("n").alias(f"n{k}"))
+
+    long_enough = F.least("nx", "ny") >= F.greatest("nx", "ny") * least
+    met = prefix(x, "x").join(prefix(y, "y"), "token").where((F.col("x") != F.col("y")) & ~F.col("sx").eqNullSafe(F.col("sy")) & long_enough)
+    pairs_ = met.select("x", "y").distinct()
+    both = pairs_.join(x.select(F.col("id").alias("x"), F.col("tokens").alias("tx")), "x").join(y.select(F.col("id").alias("y"), F.col("tokens").alias("ty")), "y")
+    kept = both.withColumn("sim", jaccard(F.col("tx"), F.col("ty"))).where(F.col("sim") >= least)
     return kept.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.bround(F.max("sim"), 4).alias("sim"))
 
 
