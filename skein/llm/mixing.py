@@ -26,6 +26,8 @@ BLOCK_WORDS = 64
 #: Slots of one source that are ranked in one task, and cells of the unit interval by which points meet sources.
 SLOTS_A_BUCKET, CELLS = 1 << 16, 4096
 POINT_BITS = 40
+#: Sources up to which the table of sources is broadcast; it is joined by shuffle beyond.
+SOURCES = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -87,13 +89,16 @@ def schedule(spark: SparkSession, sources: DataFrame, slots: int) -> DataFrame:
     return named.withColumn("rank", F.row_number().over(inner)).join(base, ["sid", "bucket"]).select("sid", (F.col("base") + F.col("rank") - 1).alias("block"), "slot")
 
 
+def digest_of(doc_id: Column, size: Column) -> Column:
+    return F.md5(F.concat_ws(":", F.lit("mix"), doc_id.cast("string"), size.cast("string")).cast("binary"))
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     size = word_count(F.col("text"))
-    digest = F.md5(F.concat_ws(":", F.lit("mix"), F.col("doc_id").cast("string"), F.col("size").cast("string")).cast("binary"))
-    return docs.select("doc_id", "source", size.alias("size")).withColumn("digest", digest)
+    return docs.select("doc_id", "source", size.alias("size")).withColumn("digest", digest_of(F.col("doc_id"), F.col("size")))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS, extra: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, source, size, source_size, target and taken, the words that the mix takes of it, repeats
     counted."""
     spark = docs.sparkSession
@@ -102,9 +107,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     total = sources.agg(F.sum("target")).first()[0] or 0.0
     slots = math.ceil(total / block_words)
     slots += 2 * slots.bit_length()  # what the sequence may be behind by
-    of = F.broadcast(sources) if sources.count() <= 10_000 else sources
+    of = F.broadcast(sources) if sources.count() <= SOURCES else sources
     rows = sized.join(of, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    kept = ["doc_id", "source", "size", "source_size", "target"]
+    kept = ["doc_id", "source", "size", "source_size", "target", *extra]
     begin = F.col("epoch") * F.col("source_size") + F.col("start")
     pieces = (
         stream(rows.where(F.col("size") > 0))
@@ -120,13 +125,18 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """docs as the mix orders them: each row as many times as its words are taken, to the nearest whole. Equal rows
-    share what is taken of them."""
-    counts = mix(docs).groupBy("doc_id", "source", "size").agg((F.sum("taken") / F.sum("size")).alias("times")).toDF("mix_id", "mix_source", "mix_size", "mix_times")
-    match = docs["doc_id"].eqNullSafe(counts["mix_id"]) & docs["source"].eqNullSafe(counts["mix_source"]) & (word_count(docs["text"]) == counts["mix_size"])
-    times = F.floor(counts["mix_times"] + 0.5).cast("int")
-    chosen = docs.join(counts, match).where(times > 0).withColumn("mix_again", F.explode(F.sequence(F.lit(1), times)))
-    return chosen.select(*[docs[c] for c in docs.columns])
+    """docs as the mix orders them: each row as many times as its words are taken, to the nearest whole.
+
+    A source's stream is taken from its beginning, in order of digests, so one digest a source parts the rows that come
+    once more from the others; texts are not shuffled."""
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    parted = mix(docs, extra=("digest",)).where(F.col("size") > 0).groupBy("source").agg(F.max(F.struct(times.alias("times"), F.col("digest"))).alias("last"))
+    parted = checkpointed(parted.select(F.col("source").alias("mix_source"), F.col("last.times").alias("mix_times"), F.col("last.digest").alias("mix_digest")))
+    of = F.broadcast(parted) if parted.count() <= SOURCES else parted.hint("shuffle_hash")
+    size = word_count(docs["text"])
+    own = F.when(size == 0, 0).when(digest_of(docs["doc_id"], size) <= F.col("mix_digest"), F.col("mix_times")).otherwise(F.col("mix_times") - 1)
+    chosen = docs.join(of, docs["source"].eqNullSafe(F.col("mix_source"))).withColumn("mix_again", own).where(F.col("mix_again") > 0)
+    return chosen.withColumn("mix_again", F.explode(F.sequence(F.lit(1), F.col("mix_again")))).select(*[docs[c] for c in docs.columns])
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
