@@ -146,8 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = SA
         return Model(np.zeros(size, np.float32), float(6 * y[0] - 3) if len(y) else 0.0)
     once = {np.unique(f).tobytes(): k for k, f in enumerate(features)}  # copies are no new evidence
     features, y = [np.unique(features[k]) for k in once.values()], y[list(once.values())]
-    posterior, _, _ = label_model(mined(features, y).votes(features), float(np.clip(y.mean(), 0.02, 0.98)))
-    rows = [(np.append(f, size), np.ones(len(f) + 1)) for f in features]
+    voters = mined(features, y)
+    posterior, _, _ = label_model(voters.votes(features), float(np.clip(y.mean(), 0.02, 0.98)))
+    used = voters.toxic.any(axis=0) | voters.clean.any(axis=0)  # other features only tell topics; a text without any is clean
+    rows = [(np.append(f[used[f]], size), np.ones(int(used[f].sum()) + 1)) for f in features]
     w = ftrl(rows, posterior, size + 1, PASSES, np.ones(len(rows)), alpha=0.1, l1=1.0)
     return Model(w[:size].astype(np.float32), float(w[size]))
 
