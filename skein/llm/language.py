@@ -154,6 +154,8 @@ def svm(x: np.ndarray, y: np.ndarray, passes: int = 12, cost: float = 1e-4) -> t
 
 def train(features: list[np.ndarray], langs: np.ndarray) -> Model:
     size = 1 << BITS
+    if not features:
+        return Model(np.zeros((size, 0), np.float32), np.zeros(0), [], [], [])
     x = np.zeros((len(features), size), np.float32)
     for i, f in enumerate(features):
         if len(f):

@@ -103,7 +103,9 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.n
     """(posterior of label 1, chance of each vote given each label, correlation of voters' residuals)."""
     n, m = votes.shape
     hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(np.float64)
-    share = np.ones(m)
+    raw = np.nan_to_num(np.corrcoef((hot[:, :, 2] - hot[:, :, 1]).T + 0.0)) if n > 1 else np.eye(m)
+    alike = 1 / np.maximum(1, (np.maximum(raw, 0) ** 8).sum(1))  # voters that say the same thing are one voter
+    share = alike
     ones, zeros = (votes == 1).sum(1), (votes == 0).sum(1)
     p = np.where(ones > 0, 0.9, np.where(zeros > 0, 0.05, prior))
     chance, corr = np.zeros((2, m, 3)), np.eye(m)
@@ -113,12 +115,12 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.n
         logs = np.einsum("ijv,yjv,j->yi", hot, np.log(chance), share)
         p = sigmoid(np.log(prior / (1 - prior)) + logs[1] - logs[0])
         if k % 10 == 9:
-            said = hot[:, :, 2] + hot[:, :, 1] * -1
+            said = hot[:, :, 2] - hot[:, :, 1]
             means = np.stack([chance[y][:, 2] - chance[y][:, 1] for y in (0, 1)])
             rest = said - (p[:, None] * means[1] + (1 - p[:, None]) * means[0])
             norm = np.sqrt((rest**2).sum(0)) + 1e-9
             corr = (rest.T @ rest) / np.outer(norm, norm)
-            share = 1 / (1 + np.maximum(corr - np.eye(m), 0).sum(1))
+            share = np.minimum(alike, 1 / (1 + np.maximum(corr - np.eye(m), 0).sum(1)))
     return p, chance, corr
 
 
