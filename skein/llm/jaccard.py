@@ -5,8 +5,8 @@ A document's set holds 64-bit hashes of its distinct 5-word shingles; documents
 
 1. One pass names classes and counts all shingles in a table of fixed size, which gives a global order, rare first.
 2. Each class emits the prefix of its set in that order. Rows that share a shingle and pass the length and positional
-   filters are candidates: at first only each with the least class of the shingle. Their links join most groups, and
-   shingles that occur within one component need no more pairs. All pairs of different components that still share a
+   filters are candidates: at first only each with a few leading classes of the shingle. Their links join most groups,
+   and shingles that occur within one component need no more pairs. All pairs of different components that still share a
    prefix shingle follow, so no link that changes a component is lost.
 3. Candidates are verified on whole sets, once a pair, after the suffix filter.
 
@@ -34,6 +34,8 @@ WORDS, PERCENT = 5, 75
 COUNTERS, BITS, BLOCK = 1 << 22, 1 << 25, 4096
 #: Ranges of the hashes by which the suffix filter compares sets before they are sent.
 PART_BITS = 7
+#: First classes of a shingle that all others are paired with, and rounds of that, ahead of all remaining pairs.
+LEADERS, ROUNDS = 4, 2
 #: Rows up to which ids to leave out are broadcast; they are joined by shuffle beyond.
 BROADCAST_ROWS = 200_000
 
@@ -197,46 +199,57 @@ def _close(n1, p1, n2, p2) -> np.ndarray:
     return (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2)) & (np.minimum(n1 - p1, n2 - p2) >= needed(n1 + n2))
 
 
-def _leaders(prefixes: DataFrame) -> DataFrame:
-    """A stored table. Rows (u, v): each class with the least class of a shingle that both have. Other rows: the prefix
-    rows of shingles that several classes share."""
-    tasks = int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _leaders(rows: DataFrame, salt: int, keep: bool) -> DataFrame:
+    """Rows (u, v): each class of a shingle with the shingle's first LEADERS classes, in an order that the salt makes.
+    With keep also the prefix rows of shingles that several classes share. rows: token, class, n, pos, root; classes of
+    one root need no pair."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        last = None  # the last row, the first row of its shingle, and whether the last row was written
+        held = None  # of the last shingle: its first rows and its last one, and whether that was written
         for batch in batches:
-            t, c, n, p = (batch.column(i).to_numpy() for i in range(4))
-            if last is not None:
-                t, c, n, p = (np.concatenate([[x], y]) for x, y in zip(last[0], (t, c, n, p), strict=True))
+            cols = [batch.column(i).to_numpy() for i in range(5)]
+            old = 0
+            if held is not None:
+                cols = [np.concatenate([x, y]) for x, y in zip(held[0], cols, strict=True)]
+                old = len(held[0][0])
+            t, c = cols[0], cols[1]
+            once = np.ones(len(t), bool)  # a class comes once from every task that met it
+            once[1:] = (t[1:] != t[:-1]) | (c[1:] != c[:-1])
+            old = int(once[:old].sum())
+            t, c, n, p, r = cols = [x[once] for x in cols]
             same = np.zeros(len(t), bool)
             same[1:] = t[1:] == t[:-1]
             lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(t))))
-            first = [x[lead] for x in (c, n, p)]
-            if last is not None:
-                first = [np.where(lead == 0, x, y) for x, y in zip(last[1], first, strict=True)]
-            fc, fn, fp = first
-            new = same.copy()
-            new[1:] &= c[1:] != c[:-1]
-            x = np.flatnonzero(new)
-            x = x[_close(fn[x], fp[x], n[x], p[x]) & (fc[x] != c[x])]
-            pairs = np.unique(np.stack([np.minimum(fc[x], c[x]), np.maximum(fc[x], c[x])], axis=1), axis=0)
-            shared = new.copy()
-            shared[:-1] |= new[1:]
+            found = []
+            for k in range(LEADERS):
+                x = np.arange(old, len(t))
+                x = x[lead[x] + k < x]
+                y = lead[x] + k
+                ok = (c[x] != c[y]) & (r[x] != r[y]) & _close(n[y], p[y], n[x], p[x])
+                found.append(np.stack([np.minimum(c[x], c[y])[ok], np.maximum(c[x], c[y])[ok]], axis=1))
+            pairs = np.unique(np.concatenate(found), axis=0)
+            shared = same.copy()
+            shared[:-1] |= same[1:]
             written = bool(shared[-1])
-            if last is not None and last[2]:
-                shared[0] = False  # written with the last batch
-            rows = np.flatnonzero(shared)
-            k, m = len(pairs), len(rows)
+            if old:
+                shared[: old - 1] = False
+                shared[old - 1] &= not held[1]
+            rows_ = np.flatnonzero(shared) if keep else np.zeros(0, np.int64)
+            k, m = len(pairs), len(rows_)
             if k + m:
-                at = lambda x, t_: pa.array(np.concatenate([np.zeros(k, x.dtype), x[rows]]), t_, mask=np.arange(k + m) < k)
+                at = lambda x, t_: pa.array(np.concatenate([np.zeros(k, x.dtype), x[rows_]]), t_, mask=np.arange(k + m) < k)
                 of = lambda x: pa.array(np.concatenate([x, np.zeros(m, np.int64)]), pa.int64(), mask=np.arange(k + m) >= k)
                 yield pa.RecordBatch.from_arrays([of(pairs[:, 0]), of(pairs[:, 1]), at(t, pa.int64()), at(c, pa.int64()), at(n, pa.int32()), at(p, pa.int32())], names=["u", "v", "token", "class", "n", "pos"])
-            last = ((t[-1], c[-1], n[-1], p[-1]), (fc[-1], fn[-1], fp[-1]), written)
+            first = int(lead[-1])
+            stay = np.unique(np.append(np.arange(first, min(first + LEADERS, len(t))), len(t) - 1))
+            held = ([x[stay] for x in cols], written or (len(stay) > 1))
 
-    arrow_rows(prefixes.sparkSession, 50_000)
-    dealt = prefixes.repartition(tasks, "token").sortWithinPartitions("token", "class")
+    arrow_rows(rows.sparkSession, 50_000)
+    salted = rows.select("token", "class", "n", "pos", "root", F.xxhash64(F.lit(salt), "class").alias("order"))
+    dealt = salted.repartition(tasks, "token").sortWithinPartitions("token", "order", "class").drop("order")
     out = stored(dealt.mapInArrow(run, "u long, v long, token long, class long, n int, pos int"), "jaccard-near")
-    arrow_rows(prefixes.sparkSession)
+    arrow_rows(rows.sparkSession)
     return out
 
 
@@ -244,7 +257,7 @@ def outlines(offs: np.ndarray, hashes: np.ndarray) -> list[bytes]:
     """How many of each set's hashes lie in each of 2 ** PART_BITS equal ranges."""
     n = len(offs) - 1
     cell = (np.repeat(np.arange(n), np.diff(offs)) << PART_BITS) | (hashes >> np.uint64(64 - PART_BITS)).astype(np.int64)
-    held = np.minimum(np.bincount(cell, minlength=n << PART_BITS), 65535).astype("<u2").reshape(n, -1)
+    held = np.minimum(np.bincount(cell, minlength=n << PART_BITS), 255).astype(np.uint8).reshape(n, -1)
     return [x.tobytes() for x in held]
 
 
@@ -252,7 +265,7 @@ def may_be_similar(n1: np.ndarray, n2: np.ndarray, outlines1: np.ndarray, outlin
     """Suffix filter: sets that differ by as much as their parts' sizes do hold at least so many hashes alone. Larger
     parts than an outline can tell pass."""
     differ = np.abs(outlines1.astype(np.int64) - outlines2).sum(axis=1)
-    full = (outlines1 == 65535).any(axis=1) | (outlines2 == 65535).any(axis=1)
+    full = (outlines1 == 255).any(axis=1) | (outlines2 == 255).any(axis=1)
     return full | (n1 + n2 - differ >= 2 * needed(n1 + n2))
 
 
@@ -302,7 +315,7 @@ def _verified(docs: DataFrame, made: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def outlined(batches):
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(batch.num_rows, -1) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
             ok = may_be_similar(batch.column(4).to_numpy(), batch.column(5).to_numpy(), x, y)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["u", "v"])
 
@@ -323,15 +336,20 @@ def _verified(docs: DataFrame, made: DataFrame, pairs: DataFrame) -> DataFrame:
     return checkpointed(two.mapInArrow(run, "u long, v long"))
 
 
-def _across(near: DataFrame, labels: DataFrame) -> DataFrame:
-    """All candidates of different components that aren't pairs of _leaders: they share a prefix shingle and pass the
-    length and positional filters. Where two rows also share the shingle before, they were paired there."""
-    rows = near.where(F.col("token").isNotNull()).select("token", "class", "n", "pos").distinct().join(labels, F.col("class") == F.col("node"), "left")
+def _mixed(near: DataFrame, labels: DataFrame) -> DataFrame:
+    """A stored table of the prefix rows of shingles that classes of different components share: token, class, n, pos,
+    root, and before, the last of these shingles that the class has ahead of this one."""
+    rows = near.where(F.col("token").isNotNull()).select("token", "class", "n", "pos").join(labels, F.col("class") == F.col("node"), "left")
     rows = rows.select("token", "class", "n", "pos", F.coalesce("root", "class").alias("root"))
     several = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held"))
-    mixed = several.where((F.col("low") < F.col("high")) & (F.col("held") > 2)).select("token")
+    mixed = several.where((F.col("low") < F.col("high")) & (F.col("held") > 2)).select("token")  # two were a pair at once
     before = F.lag("token").over(Window.partitionBy("class").orderBy("pos"))
-    rows = stored(rows.join(mixed, "token", "left_semi").withColumn("before", before), "jaccard-mixed")
+    return stored(rows.join(mixed, "token", "left_semi").withColumn("before", before), "jaccard-mixed")
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """All candidates of different components: they share a prefix shingle and pass the length and positional filters.
+    Where two rows also share the shingle before, they were paired there."""
     x, y = rows.alias("x"), rows.alias("y")
     both = F.col("x.n") + F.col("y.n")
     meet = (
@@ -350,10 +368,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     made = _classified(docs)
     rows = made.where(F.col("block").isNull()).select("doc_id", "n", "class")
     counts = _summed(made.where(F.col("block").isNotNull()), "uint16", bits=False)
-    near = _leaders(_prefixes(docs, rarity(counts)))
+    near = _leaders(_prefixes(docs, rarity(counts)).withColumn("root", F.col("class")), 0, keep=True)
     links = _verified(docs, made, near.where(F.col("u").isNotNull()))
-    labels = components(links)
-    more = _verified(docs, made, _across(near, labels))
+    for salt in range(1, ROUNDS):
+        again = _leaders(_mixed(near, components(links)), salt, keep=False)
+        links = links.unionByName(_verified(docs, made, again))
+    more = _verified(docs, made, _across(_mixed(near, components(links))))
     labels = checkpointed(components(links.unionByName(more)))
     classes = rows.where(F.col("n") > 0).groupBy("class").agg(F.min("doc_id").alias("least"))
     named = classes.join(labels, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("root", "class").alias("root"))
