@@ -339,12 +339,14 @@ def _verified(docs: DataFrame, made: DataFrame, pairs: DataFrame) -> DataFrame:
 def _mixed(near: DataFrame, labels: DataFrame) -> DataFrame:
     """A stored table of the prefix rows of shingles that classes of different components share: token, class, n, pos,
     root, and before, the last of these shingles that the class has ahead of this one."""
-    rows = near.where(F.col("token").isNotNull()).select("token", "class", "n", "pos").join(labels, F.col("class") == F.col("node"), "left")
+    of = F.broadcast(labels) if labels.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else labels
+    rows = near.where(F.col("token").isNotNull()).select("token", "class", "n", "pos").join(of, F.col("class") == F.col("node"), "left")
     rows = rows.select("token", "class", "n", "pos", F.coalesce("root", "class").alias("root"))
-    several = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held"))
-    mixed = several.where((F.col("low") < F.col("high")) & (F.col("held") > 2)).select("token")  # two were a pair at once
+    token = Window.partitionBy("token")
+    several = rows.withColumn("low", F.min("root").over(token)).withColumn("high", F.max("root").over(token)).withColumn("held", F.count("*").over(token))
+    mixed = several.where((F.col("low") < F.col("high")) & (F.col("held") > 2)).drop("low", "high", "held")  # two were a pair at once
     before = F.lag("token").over(Window.partitionBy("class").orderBy("pos"))
-    return stored(rows.join(mixed, "token", "left_semi").withColumn("before", before), "jaccard-mixed")
+    return stored(mixed.withColumn("before", before), "jaccard-mixed")
 
 
 def _across(rows: DataFrame) -> DataFrame:
@@ -370,10 +372,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     counts = _summed(made.where(F.col("block").isNotNull()), "uint16", bits=False)
     near = _leaders(_prefixes(docs, rarity(counts)).withColumn("root", F.col("class")), 0, keep=True)
     links = _verified(docs, made, near.where(F.col("u").isNotNull()))
+    left = near
     for salt in range(1, ROUNDS):
-        again = _leaders(_mixed(near, components(links)), salt, keep=False)
-        links = links.unionByName(_verified(docs, made, again))
-    more = _verified(docs, made, _across(_mixed(near, components(links))))
+        left = _mixed(left, checkpointed(components(links)))
+        links = links.unionByName(_verified(docs, made, _leaders(left, salt, keep=False)))
+    more = _verified(docs, made, _across(_mixed(left, checkpointed(components(links)))))
     labels = checkpointed(components(links.unionByName(more)))
     classes = rows.where(F.col("n") > 0).groupBy("class").agg(F.min("doc_id").alias("least"))
     named = classes.join(labels, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("root", "class").alias("root"))
