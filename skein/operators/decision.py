@@ -239,3 +239,19 @@ def build_signals(judgments: DataFrame, claims: DataFrame, directions: DataFrame
         "credence", "strength", "relevance", clamp(0.35 + 0.5 * s).alias("extraction_confidence"), clamp(0.3 + 0.5 * s).alias("evidence_quality"), F.lit(1.0).alias("source_weight"),
         F.coalesce(F.nullif(F.col("source_id"), F.lit("")), F.col("claim_id")).alias("dependency_key"), F.col("claim_id").alias("proposition_id"), "source_id",
     )
+
+
+def proposition_quality(score: Column, low: Column, high: Column) -> Column:
+    """Evidence quality of a proposition by its support in the text and the width of its credence."""
+    return clamp(0.35 + 0.35 * score + 0.30 * (1 - (high - low)))
+
+
+def proposition_signals(propositions: DataFrame) -> DataFrame:
+    """Signals of propositions (id, direction_id, factor_id, polarity, credence, low, high, support_in_text, relevance,
+    strength, dependency_key, source_claim_id, source_id); a signal's group is its dependency, else its claim, else itself."""
+    key = F.coalesce(F.nullif(F.col("dependency_key"), F.lit("")), F.nullif(F.col("source_claim_id"), F.lit("")), F.col("id"))
+    return propositions.select(
+        F.concat_ws("_", F.lit("sig"), "id", "direction_id", "factor_id").alias("id"), "direction_id", "factor_id", "polarity", "credence", "strength", "relevance",
+        F.col("support_in_text").alias("extraction_confidence"), proposition_quality(F.col("support_in_text"), F.col("low"), F.col("high")).alias("evidence_quality"),
+        F.lit(1.0).alias("source_weight"), key.alias("dependency_key"), F.col("id").alias("proposition_id"), "source_id",
+    )

@@ -228,6 +228,11 @@ def q_anchor_assign(spark, sf):
     return A.assign(claims).select("id", "district", "ax", "ay")
 
 
+@query()
+def q_genre(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", T.genre(F.col("text")).alias("genre"))
+
+
 # Tables -------------------------------------------------------------------------------------------------------------
 
 @query("select source as feed, doc_id::varchar as item_key from documents where doc_id % 2 <> 0")

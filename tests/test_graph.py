@@ -136,3 +136,11 @@ def test_options(spark):
     assert got["a"].criteria_score == pytest.approx((0.8 + 0.5) / 2) and got["a"].outcome_value == pytest.approx(0.75)
     assert got["a"].total_score == pytest.approx(0.7) and got["a"].status == "recommended"
     assert got["b"].total_score == pytest.approx(0.35 - 0.1) and got["c"].status == "impermissible" and got["c"].rank == 3
+
+
+def test_proposition_signals(spark):
+    cols = "id string, direction_id string, factor_id string, polarity string, credence double, low double, high double, support_in_text double, relevance double, strength double, dependency_key string, source_claim_id string, source_id string"
+    rows = [("p1", "d", "f", "supports", 0.7, 0.5, 0.9, 0.4, 1.0, 0.5, "", "c9", "s"), ("p2", "d", "f", "weakens", 0.7, 0.7, 0.7, 1.0, 1.0, 0.5, "k", "c9", "s")]
+    got = {r.proposition_id: r for r in D.proposition_signals(spark.createDataFrame(rows, cols)).collect()}
+    assert got["p1"].evidence_quality == pytest.approx(0.35 + 0.14 + 0.18) and got["p1"].dependency_key == "c9"
+    assert got["p2"].evidence_quality == pytest.approx(1.0) and got["p2"].dependency_key == "k"
