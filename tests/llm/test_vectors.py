@@ -39,3 +39,24 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert all(got[k] == 0 for k in range(201)) and got[500] == got[400] == got[300] == 300
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def near(rng, centre, cosine):
+    """A unit vector at the given cosine to a unit vector."""
+    v = rng.standard_normal(len(centre))
+    v -= (v @ centre) * centre
+    return cosine * centre + np.sqrt(1 - cosine**2) * v / np.linalg.norm(v)
+
+
+def test_links_between_clumps(spark):
+    """Groups whose members are nearer to one another than to another group, which is within the threshold too."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for label in range(3):
+        first = near(rng, np.eye(32)[0], 0.0)
+        for centre in (first, near(rng, first, 0.96)):
+            rows += [(len(rows) + k, near(rng, centre, 0.995).astype(np.float32).tolist(), label) for k in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in N.near_vectors(df).collect()}
+    assert got == brute(rows)
+    assert {c for _, c in got.values()} == {0, 24, 48}
