@@ -365,11 +365,16 @@ def _decode(coefs: np.ndarray, key: tuple, held: list[tuple[Image, Scan]]) -> No
     totals, firsts, steps = [], [], []
     for img, s in held:
         rows, cols = img.shown(s.parts[0])
-        if cols != img.grid(s.parts[0])[1]:
-            raise ValueError("scans of a component whose rows aren't whole MCUs are not supported")
         totals.append(rows * cols)
         firsts.append(img.base[s.parts[0]])
         steps.append(s.restart or rows * cols)
+    # Where rows aren't whole MCUs, a scan's blocks don't follow one another: it is decoded into a copy that has them so.
+    apart = any(img.shown(s.parts[0])[1] != img.grid(s.parts[0])[1] for img, s in held)
+    if apart:
+        places = [_alone(img, s.parts[0]) + img.base[s.parts[0]] // 64 for img, s in held]
+        order, target = np.concatenate(places), coefs
+        coefs = target.reshape(-1, 64)[order].reshape(-1)
+        firsts = (np.cumsum([0, *totals[:-1]]) * 64).tolist()
     total, first, step = np.array(totals), np.array(firsts), np.array(steps)
     count = -(-total // step)
     owner = np.repeat(np.arange(len(total)), count)
@@ -380,6 +385,8 @@ def _decode(coefs: np.ndarray, key: tuple, held: list[tuple[Image, Scan]]) -> No
         _refine_ac(coefs, bits, lookup(tables[0]), *lanes)
     else:
         _first_ac(coefs, bits, tables[0], *lanes)
+    if apart:
+        target.reshape(-1, 64)[order] = coefs.reshape(-1, 64)
 
 
 def samples(images: list[Image], coefs: np.ndarray) -> np.ndarray:
@@ -423,6 +430,8 @@ def pixels(img: Image, blocks: np.ndarray) -> np.ndarray:
 
     def full(x: np.ndarray, p: int) -> np.ndarray:
         h, v = img.sampling[p]
+        if hm % h or vm % v:
+            return x[np.arange(img.height) * v // vm][:, np.arange(img.width) * h // hm]
         x = np.repeat(x, hm // h, axis=1) if hm > h else x
         return (np.repeat(x, vm // v, axis=0) if vm > v else x)[: img.height, : img.width]
 

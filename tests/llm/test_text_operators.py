@@ -4,6 +4,7 @@ and extra columns."""
 import collections
 import hashlib
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -262,6 +263,71 @@ def test_jpeg_without_restarts_and_all_coefficients():
     assert grey.shape == (16, 112, 3) and (grey == 128).all()
 
 
+def progressive(img, coefs, restart):
+    """A file of an image's coefficients: first DC of all components, then AC of each in two bands, one sent in two steps."""
+    values, lengths = jpeg._tables(jpeg.DC_SPEC, lambda size: size)
+    parts = range(len(img.sampling))
+    ids = bytes(x for p in parts for x in (p + 1, 0))
+    frame = b"".join(bytes([p + 1, h << 4 | v, 0]) for p, (h, v) in enumerate(img.sampling))
+    out = [b"\xff\xd8", jpeg._segment(0xDB, b"\0" + b"\1" * 64), jpeg._segment(0xC4, b"\0" + jpeg.DC_SPEC), jpeg._segment(0xC4, b"\x10" + jpeg.AC_SPEC), jpeg._segment(0xC2, struct.pack(">BHHB", 8, img.height, img.width, len(parts)) + frame), jpeg._segment(0xDD, struct.pack(">H", restart))]
+
+    def scan(ids, band, entries, lanes):
+        data, ends = jpeg._packed(*entries, lanes)
+        cut = [0, *ends.tolist()]
+        out.append(jpeg._segment(0xDA, bytes([len(ids) // 2]) + ids + bytes(band)))
+        out.extend(data[cut[k] : cut[k + 1]].tobytes() + (bytes([0xFF, 0xD0 + k % 8]) if k < lanes - 1 else b"") for k in range(lanes))
+
+    def alone(p):
+        (rows, cols), wide = img.shown(p), img.grid(p)[1]
+        return [img.base[p] // 64 + y * wide + x for y in range(rows) for x in range(cols)]
+
+    order = [(k, 0, n) for n, k in enumerate(alone(0))]
+    if len(parts) > 1:
+        order = [(img.base[p] // 64 + (my * v + y) * img.grid(p)[1] + mx * h + x, p, my * img.mcus[1] + mx) for my in range(img.mcus[0]) for mx in range(img.mcus[1]) for p, (h, v) in enumerate(img.sampling) for y in range(v) for x in range(h)]
+    lane = np.array([n // restart if restart else 0 for *_, n in order])
+    diff, last = [], {}
+    for (k, p, _), a in zip(order, lane.tolist(), strict=True):
+        diff.append(int(coefs[k, 0]) - last.get((p, a), 0))
+        last[p, a] = int(coefs[k, 0])
+    scan(ids, (0, 0, 0), (values[np.array(diff) + 512], lengths[np.array(diff) + 512], lane), int(lane[-1]) + 1)
+    for p in parts:
+        v = coefs[alone(p)].astype(np.int32)
+        lane = np.arange(len(v)) // (restart or len(v))
+        one, lanes = bytes([p + 1, 0]), int(lane[-1]) + 1
+        scan(one, (1, 5, 1), jpeg._encode_ac(v[:, 1:6], lane, 1), lanes)
+        scan(one, (6, 63, 0), jpeg._encode_ac(v[:, 6:], lane, 0), lanes)
+        scan(one, (1, 5, 1 << 4), jpeg._encode_refined(v[:, 1:6], lane), lanes)
+    return b"".join(out) + b"\xff\xd9"
+
+
+def test_tensors_of_odd_sizes_and_samplings(spark):
+    """Images whose components' rows or columns aren't whole MCUs."""
+    rng = np.random.default_rng(11)
+    files, want = [], []
+    for sampling in ([(2, 2), (1, 1), (1, 1)], [(2, 1), (1, 1), (1, 1)], [(1, 2), (1, 1), (1, 1)], [(1, 1)] * 3, [(2, 2)], [(3, 2), (2, 1), (1, 2)]):
+        for height, width in ((52, 100), (1, 1), (9, 17), (16, 16), (33, 40)):
+            for restart in (0, 5):
+                img = jpeg.Image(height, width, sampling, [np.ones(64, np.int64)] * len(sampling), [])
+                sizes = [rows * cols * 64 for rows, cols in map(img.grid, range(len(sampling)))]
+                img.base = np.cumsum([0, *sizes[:-1]]).tolist()
+                coefs = rng.choice([0, 0, 0, 0, 1, -1, 2, -3, 17], (sum(sizes) // 64, 64)).astype(np.int16)
+                for p, (h, w) in enumerate(map(img.shown, range(len(sampling)))):  # blocks beyond the picture have no AC
+                    blocks = coefs[img.base[p] // 64 :][: sizes[p] // 64].reshape(*img.grid(p), 64)
+                    blocks[h:, :, 1:] = blocks[:, w:, 1:] = 0
+                    if len(sampling) == 1:
+                        blocks[h:] = blocks[:, w:] = 0
+                files.append(progressive(img, coefs, restart))
+                again = jpeg.parse(files[-1])
+                assert np.array_equal(jpeg.coefficients([again]), coefs), (sampling, height, width, restart)
+                want.append((height, width, jpeg.pixels(img, jpeg.samples([img], coefs)).tobytes()))
+    assert all(len(rgb) == h * w * 3 for h, w, rgb in want)
+    together = [jpeg.parse(f) for f in files[:4]]
+    assert np.array_equal(jpeg.coefficients(together), np.concatenate([jpeg.coefficients([jpeg.parse(f)]) for f in files[:4]]))
+    df = spark.createDataFrame(list(enumerate(files)), "doc_id int, media binary")
+    got = {r.id: (r.height, r.width, bytes(r.rgb) if r.rgb is not None else None) for r in media.tensors(df).collect()}
+    assert got == dict(enumerate(want))
+
+
 def test_inverse_transform():
     block = np.zeros((1, 64), np.int16)
     block[0, 0], block[0, 1], block[0, 2] = 40, 25, -13
