@@ -134,8 +134,8 @@ CLAUSES = (
     ("no-reproduction", "reserved", "reproduced", "no part of this (?:publication|work|book|document) may be reproduced"),
     ("dual", "dual", "dual", "dual licensed(?: under)?"),
     ("same-terms-perl", "artistic", "perl", "under the same terms as perl(?: itself)?"),
-    ("patents", "patent-grant", "patents", "additional grant of patent rights"),
-    ("trademark", "trademark", "trademarks", "(?:registered )?trademarks? (?:of|are the property of)(?: their respective owners)?"),
+    ("patents", "patent-grant", "patent", "additional grant of patent rights"),
+    ("trademark", "trademark", "trademark", "(?:registered )?trademarks? (?:of|are the property of)(?: their respective owners)?"),
 )
 
 

@@ -229,6 +229,40 @@ def test_license_rules_against_python(spark):
         assert got[k] == kept, k
 
 
+def spelt(pattern):
+    """Texts that a rule's pattern matches: each branch, each option left out and taken, one sign of each class."""
+
+    def parts(tree):
+        texts = {""}
+        for kind, value in tree:
+            name = str(kind)
+            if name == "LITERAL":
+                new = {chr(value)}
+            elif name == "IN":
+                new = {chr(v if str(k) == "LITERAL" else v[0]) for k, v in value[:1]}
+            elif name == "BRANCH":
+                new = set().union(*(parts(b) for b in value[1]))
+            elif name == "SUBPATTERN":
+                new = parts(value[3])
+            else:
+                assert name == "MAX_REPEAT", name
+                low, high, inner = value
+                new = {t * n for t in parts(inner) for n in (low, min(int(high), low + 1))}
+            texts = {a + b for a in texts for b in new}
+        return texts
+
+    return parts(re._parser.parse(pattern))
+
+
+def test_license_keywords_stand_in_all_matches(spark):
+    for r in licenses.rules():
+        found = spelt(r.pattern)
+        assert found and all(re.fullmatch(r.pattern, t) and f" {r.keyword}" in f" {t} " for t in found), r.name
+    rows = ["an additional grant of patent rights", "a trademark of X", "a registered trademark of X", "trademarks are the property of their respective owners"]
+    got = {r.doc_id: [d.label for d in r.detections] for r in licenses.scan(table(spark, rows)).collect()}
+    assert got == {0: ["patent-grant"], 1: ["trademark"], 2: ["trademark"], 3: ["trademark"]}
+
+
 def test_media_round_trip(spark):
     rng = np.random.default_rng(6)
     rows = [None, "", "a", "é👩" * 400, "x" * 575, "x" * 576, "x" * 577, "".join(map(chr, rng.integers(1, 0x250, 30000))), "same", "same"]
