@@ -60,3 +60,15 @@ def test_links_between_clumps(spark):
     got = {r.vec_id: (r.n_links, r.component_id) for r in N.near_vectors(df).collect()}
     assert got == brute(rows)
     assert {c for _, c in got.values()} == {0, 24, 48}
+
+
+def test_all_links_of_a_large_label(spark):
+    """Pairs without other neighbours, in a label of several blocks: lists of candidates have nothing to lead to them."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(2000):
+        v = near(rng, np.eye(64)[0], 0.0)
+        rows += [(2 * k, v.astype(np.float32).tolist(), 1), (2 * k + 1, near(rng, v, 0.932).astype(np.float32).tolist(), 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in N.near_vectors(df).collect()}
+    assert got == {k: (1, k // 2 * 2) for k in range(4000)}
