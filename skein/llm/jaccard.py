@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: rare-first prefixes with length, positional and suffix filters, each pair verified once.
+"""N-gram Jaccard join: rare-first prefixes with length, positional and suffix filters, each pair verified at most once.
 
 A document's set holds 64-bit hashes of its distinct 5-word shingles; documents of equal sets form a class, named by a
 64-bit sum over the set. All of the work below is on classes, so copies are never paired with one another.
@@ -10,6 +10,9 @@ A document's set holds 64-bit hashes of its distinct 5-word shingles; documents
    prefix shingle follow, so no link that changes a component is lost.
 3. Candidates are verified on whole sets, once a pair, after the suffix filter.
 
+Only links that change a component are sought: pairs of one component that were not needed to find it are neither verified
+nor counted. component_id is exact; the join's pairs and their number are not given.
+
 Contract for odd inputs: null and empty texts and texts without words have empty sets and link with nothing; fewer than
 five words are one shingle; texts of any length are read whole; repeated rows are members of one class; equal sizes are
 ordered by class; a null doc_id is never a component's id unless all of its are null; an empty table gives no rows;
