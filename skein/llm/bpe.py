@@ -1,6 +1,7 @@
 """Byte-level BPE encoding and decoding with the tokenizers library over Arrow batches.
 
-Pieces (matches of the split pattern) are encoded each on its own, so a piece that a worker has met is looked up.
+Pieces (matches of the split pattern) are encoded each on its own, so what a worker has met is looked up; new pieces of a
+batch go to the library together.
 Contract for odd inputs: null and empty texts give no ids; a text of any length is encoded whole; repeated rows
 give equal values; extra columns don't matter, as only the named ones are read; an empty table gives no rows.
 """
@@ -10,21 +11,27 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import mapped, table
+from .common import chunks, mapped, table
 
-#: Entries of a worker's table of pieces; it is emptied when full, which changes no result.
-PIECES = 200_000
+#: Entries of a worker's tables of segments and of pieces, and characters of the longest that are kept. A full table
+#: becomes the old one, from which what is met again is taken over; this changes no result.
+ENTRIES, LONGEST = 300_000, 200
+#: Ids that are decoded at once.
+DECODED = 1 << 20
 #: Above this, characters may have been given a class by later Unicode versions than the tokenizer's own,
 #: and the tokenizer's own splitter decides.
 OLD_CHARACTERS = 0x530
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: White space other than blanks and line ends, which segments don't part at.
+ODD_SPACES = "[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
 
 
 def byte_characters() -> list[str]:
@@ -55,8 +62,37 @@ def merges_of(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
     return out
 
 
+class Table:
+    """Ids of strings that a worker has met, in two generations."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that neither generation has; those of the old one are taken over."""
+        if len(self.now) > ENTRIES:
+            self.old, self.now = self.now, {}
+        out = []
+        for k in keys.difference(self.now):
+            if k in self.old:
+                self.now[k] = self.old[k]
+            else:
+                out.append(k)
+        return out
+
+    def forget(self, keys: Iterable[str]) -> None:
+        for k in keys:
+            if len(k) > LONGEST:
+                self.now.pop(k, None)
+
+
 class ByteBpe:
-    """Encoder and decoder of one vocabulary file."""
+    """Encoder and decoder of one vocabulary file.
+
+    A segment is white space (blanks, line ends) and what follows up to the next white space. The split pattern has no
+    match with white space after another character, so segments are split and encoded each on its own, and those that
+    come again are looked up. Texts with other white space or later characters are looked up by pieces."""
 
     def __init__(self, path: str, pattern: str):
         import regex
@@ -70,11 +106,16 @@ class ByteBpe:
         self.splitter = pre_tokenizers.Split(Regex(pattern), "isolated")
         own = pattern.replace("[^\\s", f"[^{SPACES}").replace("\\s", f"[{SPACES}]").replace("\\S", f"[^{SPACES}]")
         self.pieces_of = regex.compile(own).findall
+        self.segments_of = re.compile("[ \\n]*[^ \\n]+|[ \\n]+").findall
         self.newer = re.compile(f"[{chr(OLD_CHARACTERS)}-\U0010ffff]").search
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
+        self.odd = re.compile(ODD_SPACES).search
+        tokens = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
-            self.bytes_of[rank] = token
-        self.known: dict[str, bytes] = {}
+            tokens[rank] = token
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.lens = np.array([len(x) for x in tokens], np.int64)
+        self.starts = np.cumsum(self.lens) - self.lens
+        self.pieces, self.segments = Table(), Table()
 
     def split(self, text: str) -> list[str]:
         """The matches of the pattern, in order; they cover the text."""
@@ -82,28 +123,63 @@ class ByteBpe:
             return [piece for piece, _ in self.splitter.pre_tokenize_str(text)]
         return self.pieces_of(text)
 
-    def _learn(self, pieces: Iterable[str]) -> None:
-        new = list({p for p in pieces if p not in self.known})
-        if len(self.known) + len(new) > PIECES:
-            self.known.clear()
-            new = list(set(pieces))
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        """Encodes the pieces that are new, many in one call: the library says of which piece each id is."""
+        new = self.pieces.missing(pieces)
         for k in range(0, len(new), 4096):
             part = new[k : k + 4096]
-            for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(e.ids, "<u4").tobytes()
+            e = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(e.ids, "<u4")
+            ends = np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(part)), "right").tolist()
+            start = 0
+            for piece, end in zip(part, ends, strict=True):
+                self.pieces.now[piece] = ids[start:end].tobytes()
+                start = end
+
+    def _learn_segments(self, segments: set[str]) -> None:
+        new = self.segments.missing(segments)
+        split = list(map(self.pieces_of, new))
+        pieces = set(chain.from_iterable(split))
+        self._learn_pieces(pieces)
+        of = self.pieces.now.__getitem__
+        self.segments.now.update(zip(new, (b"".join(map(of, x)) for x in split), strict=True))
+        self.pieces.forget(pieces)
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        plain = [x is not None and not self.newer(x) and not self.odd(x) for x in texts]
+        parts = [self.segments_of(x) if p else self.split(x or "") for x, p in zip(texts, plain, strict=True)]
+        segments = set(chain.from_iterable(x for x, p in zip(parts, plain, strict=True) if p))
+        self._learn_segments(segments)
+        pieces = set(chain.from_iterable(x for x, p in zip(parts, plain, strict=True) if not p))
+        self._learn_pieces(pieces)
+        segment, piece = self.segments.now.__getitem__, self.pieces.now.__getitem__
+        out = [b"".join(map(segment if p else piece, x)) for x, p in zip(parts, plain, strict=True)]
+        self.segments.forget(segments)
+        self.pieces.forget(pieces)
+        return out
 
     def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        pieces = self.split(text or "")
-        try:
-            return b"".join(map(self.known.__getitem__, pieces))
-        except KeyError:
-            self._learn(pieces)
-            return b"".join(map(self.known.__getitem__, pieces))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of the ids. Ids may split a character: bytes are joined before any are read as UTF-8."""
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        ids_ = np.frombuffer(ids, "<u4")
+        out = []
+        for k in range(0, len(ids_), DECODED):
+            part = ids_[k : k + DECODED]
+            lens = self.lens[part]
+            ends = np.cumsum(lens)
+            out.append(self.bytes[np.repeat(self.starts[part] - (ends - lens), lens) + np.arange(ends[-1])].tobytes())
+        return b"".join(out)
+
+    def decode_all(self, ids: list[bytes]) -> Iterator[bytes]:
+        """The bytes of each row of ids."""
+        for a, b in chunks(np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]), DECODED):
+            joined = b"".join(ids[a:b])
+            text = self.decode(joined)
+            at = np.concatenate([[0], np.cumsum(self.lens[np.frombuffer(joined, "<u4")])])[np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids[a:b]])])].tolist()
+            yield from (text[i:j] for i, j in zip(at[:-1], at[1:], strict=True))
 
     def decode_text(self, ids: bytes) -> str:
         """The text of any run of ids; bytes of a character that the run cuts show as U+FFFD."""
@@ -112,7 +188,7 @@ class ByteBpe:
     def offsets(self, text: str | None) -> np.ndarray:
         """Start and end, in characters of the text, of each id: all characters of which it holds a byte."""
         raw = (text or "").encode()
-        lens = np.array([len(self.bytes_of[i]) for i in np.frombuffer(self.encode(text), "<u4").tolist()], np.int64)
+        lens = self.lens[np.frombuffer(self.encode(text), "<u4")]
         ends = np.cumsum(lens)
         if not len(ends):
             return np.zeros((0, 2), np.int64)
@@ -140,7 +216,7 @@ def encode_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vo
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = byte_bpe(*vocab)
         texts = batch.column(1).to_pylist()
-        cols = [batch.column(0), pa.array([np.frombuffer(bpe.encode(t), "<u4").astype(np.int32) for t in texts], pa.list_(pa.int32()))]
+        cols = [batch.column(0), pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in bpe.encode_all(texts)], pa.list_(pa.int32()))]
         names = ["doc_id", "ids"]
         if spans:
             at = [bpe.offsets(t).astype(np.int32) for t in texts]
@@ -171,12 +247,10 @@ def round_trip(docs: DataFrame, vocab: tuple[str, str] | None = None) -> DataFra
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = byte_bpe(*vocab)
-        n, ids_sha, text_sha = [], [], []
-        for text in batch.column(1):
-            ids = bpe.encode(text.as_py())
-            n.append(len(ids) // 4)
-            ids_sha.append(hashlib.sha256(ids).hexdigest())
-            text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+        ids = bpe.encode_all(batch.column(1).to_pylist())
+        n = [len(x) // 4 for x in ids]
+        ids_sha = [hashlib.sha256(x).hexdigest() for x in ids]
+        text_sha = [hashlib.sha256(x).hexdigest() for x in bpe.decode_all(ids)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
