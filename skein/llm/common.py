@@ -21,11 +21,13 @@ ARROW_ROWS = 256
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. It comes from spark.checkpoint.dir; only where that is unset
-    (tests in one JVM) a temporary folder is made."""
+    """The folder that all executors share. It comes from spark.checkpoint.dir; where that is unset, a temporary folder
+    serves a session in one JVM, as in tests, and a cluster gets an error."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="skein-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -41,9 +43,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """df written as Parquet in the shared folder and read back; for tables of which parts are read several times."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/skein/{label}-{uuid.uuid4().hex}"
+    return written(df, f"{shared_dir(spark)}/skein/{label}-{uuid.uuid4().hex}")
+
+
+class Scratch:
+    """Tables that are stored while a result is made; leaving the block removes them. What outlives it is checkpointed."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            removed(self.spark, path)
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(f"{shared_dir(self.spark)}/skein/{label}-{uuid.uuid4().hex}")
+        return written(df, self.paths[-1])
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -182,7 +182,33 @@ def test_jaccard_repeated_ids(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (0, "a b c d e f"), (None, None)], "doc_id long, text string")
     found = sorted((str(r.doc_id), str(r.component_id), r.n_shingles) for r in jaccard.near_duplicates(docs).collect())
     assert found == [("0", "0", 2), ("1", "0", 2), ("1", "0", 2), ("None", "0", 2), ("None", "None", 0)]
-    assert sorted(str(r.doc_id) for r in jaccard.representatives(docs).collect()) == ["0", "None", "None"]
+    assert sorted(str(r.doc_id) for r in jaccard.representatives(docs).collect()) == ["0", "None"]
+    docs = spark.createDataFrame([(1, "a b c d e f", "x"), (1, "q r s t u v", "y"), (2, "q r s t u v", "z"), (None, "k l m n o p", "w"), (None, "k l m n o p", "w")], "doc_id long, text string, `jaccard gone` string")
+    kept = jaccard.representatives(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.text[0] for r in kept.collect()) == ["a", "k", "q"]
+
+
+def test_jaccard_pairs(spark, monkeypatch):
+    """All pairs, with small chunks and buckets, and shingles that many sets of a chunk hold."""
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(jaccard, "MANY", 3)
+    monkeypatch.setattr(jaccard, "CHUNK", 500)
+    monkeypatch.setattr(jaccard, "BUCKET", 100)
+    seed, rows = rng.choice([f"v{k}" for k in range(300)], 60), texts()
+    for _ in range(70):
+        part = seed.copy()
+        part[rng.integers(0, 60, 1)] = rng.choice(WORDS, 1)
+        rows.append(" ".join(part[: rng.integers(45, 60)]))
+    sets = {}
+    for k, t in enumerate(rows):
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        if w:
+            sets.setdefault(frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)]), k)
+    pairs = {(min(i, j), max(i, j), len(x & y)) for x, i in sets.items() for y, j in sets.items() if i < j and 100 * len(x & y) >= 75 * len(x | y)}
+    got = jaccard.similar_pairs(table(spark, rows)).collect()
+    assert {(min(r.left_id, r.right_id), max(r.left_id, r.right_id), r.both) for r in got} == pairs and len(got) == len(pairs) > 300
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(table(spark, rows)).collect()} == brute_jaccard(rows)
 
 
 def test_language(spark):
