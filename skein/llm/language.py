@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, chunks, fold_of, mix64, table, text_bytes
-from .linear import collected_features, labelled_sample, sigmoid
+from .linear import labelled_sample, learned, sigmoid
 
 #: Documents of each language that are learnt from, at most; and the features' hash bits.
 SAMPLE, BITS = 400, 13
@@ -177,8 +177,7 @@ def train(features: list[np.ndarray], langs: np.ndarray) -> Model:
 
 def fit(docs: DataFrame, most: int = SAMPLE) -> Model:
     """Learns from the text and lang of at most `most` documents of each language."""
-    sample = labelled_sample(docs.select("doc_id", "text"), docs.select("doc_id", "lang"), "lang", most)
-    return train(*collected_features(sample, "lang", gram_features))
+    return learned(labelled_sample(docs, docs, "lang", most), gram_features, train)
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Hashed features and linear models that the classifiers share; models are small arrays, trained in one process on a
-bounded, documented sample and sent to all tasks."""
+"""Hashed features and linear models that the classifiers share; models are small arrays, trained in one task on a
+bounded, documented sample and sent to all others."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from .common import arrow_rows, chunks, lower_ascii, mix64, text_bytes, token_hashes, token_spans
 
 
+#: Bounds of a training sample: its rows, and the features of all of them.
+MOST_ROWS, MOST_FEATURES = 100_000, 1 << 26
 #: The feature of any word that comes twice in a row.
 REPEAT = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -22,14 +25,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, rows: DataFrame, label: str, most: int) -> DataFrame:
-    """text and label of about `most` rows at most of each label value: rows have doc_id and label. They are chosen by
-    a digest of doc_id, so the choice is the same on every run; ids are chosen before texts are read."""
-    rows = rows.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", label).dropDuplicates(["doc_id"])
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}  # a row a label value
-    rank = (F.xxhash64(F.lit("sample"), "doc_id").bitwiseAND(0x7FFFFFFF)) / float(0x80000000)
-    share = F.coalesce(*[F.when(F.col(label) == F.lit(k), F.lit(min(1.0, most / n))) for k, n in counts.items()], F.lit(0.0))
-    chosen = rows.where(rank < share).limit(2 * most * max(1, len(counts)))
-    return docs.join(F.broadcast(chosen.toDF("sample_id", "sample_label")), docs["doc_id"] == F.col("sample_id")).select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), F.col("sample_label").alias(label))
+    """doc_id, text and label of about `most` rows of each label value, MOST_ROWS in all, at most: rows have doc_id and
+    label. They are chosen by a digest of doc_id, so the choice is the same on every run; ids are chosen before texts are
+    read. Of several labels of a doc_id the largest counts."""
+    rows = rows.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
+    rank = F.xxhash64(F.lit("sample"), "doc_id").bitwiseAND(0x7FFFFFFF) / float(0x80000000)
+    held = rows.groupBy("label").agg(F.count("*").alias("held"))
+    chosen = rows.join(held, "label").where(rank * F.col("held") < most).select(F.col("doc_id").alias("id"), "label").limit(MOST_ROWS)
+    texts = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "label")
 
 
 def word_features(column: pa.Array, bits: int, n: int = 2, lower: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -64,20 +68,32 @@ def sums_by_row(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return total[offs[1:]] - total[offs[:-1]]
 
 
-def collected_features(sample: DataFrame, label: str, make) -> tuple[list[np.ndarray], np.ndarray]:
-    """Sorted features of each row of a bounded sample, and its labels; made in the executors, in a fixed order."""
+def learned(sample: DataFrame, make, train):
+    """train(features of each row, labels) of a bounded sample (doc_id, text, label). Features are made where the texts
+    are; one task of an executor gathers them in order of doc_id, MOST_FEATURES at most, and only its model comes to the
+    driver."""
 
-    def run(batches):
+    def features(batches):
         for batch in batches:
             for a, offs, f in make(batch.column(1)):
                 out = [f[offs[i] : offs[i + 1]].astype("<i4").tobytes() for i in range(len(offs) - 1)]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a : a + len(out)], pa.array(out, pa.binary()), batch.column(2)[a : a + len(out)]], names=["doc_id", "f", "y"])
 
+    def fitted(batches):
+        rows, labels, held = [], [], 0
+        for batch in batches:
+            for f, y in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+                held += len(f.as_buffer()) // 4
+                if held <= MOST_FEATURES:
+                    rows.append(np.frombuffer(f.as_py(), "<i4"))
+                    labels.append(y)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(rows, np.array(labels)))], pa.binary())], names=["model"])
+
     arrow_rows(sample.sparkSession)
-    kinds = [sample.schema[c].dataType.simpleString() for c in ("doc_id", label)]
-    rows = sample.select("doc_id", "text", label).mapInArrow(run, f"doc_id {kinds[0]}, f binary, y {kinds[1]}").collect()
-    rows.sort(key=lambda r: (r[0], r[1]))
-    return [np.frombuffer(r[1], "<i4") for r in rows], np.array([r[2] for r in rows])
+    kinds = [sample.schema[c].dataType.simpleString() for c in ("doc_id", "label")]
+    made = sample.mapInArrow(features, f"doc_id {kinds[0]}, f binary, y {kinds[1]}")
+    found = made.repartition(1).sortWithinPartitions("doc_id", "f").mapInArrow(fitted, "model binary").collect()
+    return pickle.loads(found[0][0]) if found else train([], np.zeros(0))
 
 
 def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int, passes: int, costs: np.ndarray, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.5) -> np.ndarray:

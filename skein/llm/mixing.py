@@ -93,23 +93,22 @@ def digest_of(doc_id: Column, size: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit("mix"), doc_id.cast("string"), size.cast("string")).cast("binary"))
 
 
-def sizes(docs: DataFrame) -> DataFrame:
+def sizes(docs: DataFrame, **more: Column) -> DataFrame:
     size = word_count(F.col("text"))
-    return docs.select("doc_id", "source", size.alias("size")).withColumn("digest", digest_of(F.col("doc_id"), F.col("size")))
+    return docs.select("doc_id", "source", size.alias("size"), *[c.alias(k) for k, c in more.items()]).withColumn("digest", digest_of(F.col("doc_id"), F.col("size")))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: doc_id, source, size, source_size, target and taken, the words that the mix takes of it, repeats
-    counted."""
-    spark = docs.sparkSession
-    sized = checkpointed(sizes(docs))
+def slotted(sized: DataFrame, weights: tuple[int, ...], share: float, epochs: int, block_words: int) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with their sources' size and target; the pieces of rows in blocks, with the words that the mix takes of each
+    and the block's slot; and the number of slots."""
+    spark = sized.sparkSession
+    sized = checkpointed(sized)
     sources = checkpointed(targets(sized, weights, share, epochs))
     total = sources.agg(F.sum("target")).first()[0] or 0.0
     slots = math.ceil(total / block_words)
     slots += 2 * slots.bit_length()  # what the sequence may be behind by
     of = F.broadcast(sources) if sources.count() <= SOURCES else sources
     rows = sized.join(of, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    kept = ["doc_id", "source", "size", "source_size", "target", *extra]
     begin = F.col("epoch") * F.col("source_size") + F.col("start")
     pieces = (
         stream(rows.where(F.col("size") > 0))
@@ -120,23 +119,36 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     )
     end = F.least(F.floor("target"), (F.col("block") + 1) * block_words)
     words = F.greatest(F.lit(0), F.least(F.col("to"), end) - F.greatest(F.col("from"), F.col("block") * block_words))
-    taken = pieces.join(schedule(spark, sources, slots), ["sid", "block"], "left").groupBy(*kept, "sid", "start").agg(F.sum(F.when(F.col("slot").isNotNull(), words).otherwise(0)).alias("taken"))
-    return taken.select(*kept, "taken").unionByName(rows.where(F.col("size") == 0).select(*kept, F.lit(0).cast("long").alias("taken")))
+    met = pieces.join(schedule(spark, sources, slots), ["sid", "block"], "left").withColumn("words", F.when(F.col("slot").isNotNull(), words).otherwise(0))
+    return rows, met, slots
+
 
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Per row: doc_id, source, size, source_size, target and taken, the words that the mix takes of it, repeats
+    counted."""
+    rows, met, _ = slotted(sizes(docs), weights, share, epochs, block_words)
+    kept = ["doc_id", "source", "size", "source_size", "target"]
+    taken = met.groupBy(*kept, "sid", "start").agg(F.sum("words").alias("taken"))
+    return taken.select(*kept, "taken").unionByName(rows.where(F.col("size") == 0).select(*kept, F.lit(0).cast("long").alias("taken")))
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """docs as the mix orders them: each row as many times as its words are taken, to the nearest whole.
 
-    A source's stream is taken from its beginning, in order of digests, so one digest a source parts the rows that come
-    once more from the others; texts are not shuffled."""
-    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    parted = mix(docs, extra=("digest",)).where(F.col("size") > 0).groupBy("source").agg(F.max(F.struct(times.alias("times"), F.col("digest"))).alias("last"))
-    parted = checkpointed(parted.select(F.col("source").alias("mix_source"), F.col("last.times").alias("mix_times"), F.col("last.digest").alias("mix_digest")))
-    of = F.broadcast(parted) if parted.count() <= SOURCES else parted.hint("shuffle_hash")
-    size = word_count(docs["text"])
-    own = F.when(size == 0, 0).when(digest_of(docs["doc_id"], size) <= F.col("mix_digest"), F.col("mix_times")).otherwise(F.col("mix_times") - 1)
-    chosen = docs.join(of, docs["source"].eqNullSafe(F.col("mix_source"))).withColumn("mix_again", own).where(F.col("mix_again") > 0)
-    return chosen.withColumn("mix_again", F.explode(F.sequence(F.lit(1), F.col("mix_again")))).select(*[docs[c] for c in docs.columns])
+def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """docs as the mix orders them: a row comes once for each reading of its source's stream that takes at least half of
+    its words, at the first slot that takes any; rows are partitioned and sorted by slot.
+
+    Rows of one doc_id and text are numbered, so that each meets its own place in the stream."""
+    key = F.xxhash64("text")
+    _, met, slots = slotted(sizes(docs, key=key), weights, share, epochs, block_words)
+    read = met.groupBy("digest", "key", "sid", "start", "size", "epoch").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
+    at = read.where(2 * F.col("words") >= F.col("size")).groupBy("digest", "key", "sid", "start").agg(F.collect_list("slot").alias("slots"))  # one an epoch
+    same = Window.partitionBy("digest", "key")
+    at = at.withColumn("copy", F.row_number().over(same.orderBy("sid", "start"))).select("digest", "key", "copy", "slots")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), digest_of(docs["doc_id"], word_count(docs["text"])).alias("digest"), F.xxhash64(docs["text"]).alias("key"))
+    rows = rows.withColumn("copy", F.row_number().over(same.orderBy(F.lit(0))))
+    placed = rows.join(at.hint("merge"), ["digest", "key", "copy"]).select("row", F.explode("slots").alias("slot"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = placed.repartitionById(tasks, F.floor(F.col("slot") * tasks / max(1, slots)).cast("int")).sortWithinPartitions("slot")
+    return dealt.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

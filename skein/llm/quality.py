@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, fold_of, table
-from .linear import collected_features, ftrl, labelled_sample, sigmoid, sums_by_row, word_features
+from .linear import ftrl, labelled_sample, learned, sigmoid, sums_by_row, word_features
 
 #: Labelled rows of each label value that are learnt from, at most.
 SAMPLE = 4000
@@ -54,8 +54,7 @@ def train(features: list[np.ndarray], labels: np.ndarray) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE) -> Model:
-    sample = labelled_sample(docs, labels, label, most)
-    return train(*collected_features(sample, label, lambda column: word_features(column, BITS, NGRAM)))
+    return learned(labelled_sample(docs, labels, label, most), lambda column: word_features(column, BITS, NGRAM), train)
 
 
 def scored(docs: DataFrame, model: Model, columns: list[str], folds: int, held: int) -> DataFrame:
