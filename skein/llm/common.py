@@ -6,12 +6,12 @@ import re
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that the numpy kernels take at once; a longer single text is taken alone.
@@ -209,5 +209,27 @@ def mapped(df: DataFrame, kernel, schema: str, rows: int = ARROW_ROWS) -> DataFr
     return df.mapInArrow(run, schema)
 
 
-def safe_name(name: str) -> str:
-    return re.sub(r"\W", "_", name)
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed, and written into the plan, once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(items: Column, state: Column, out: str, step: Callable[[Column, Column], tuple[Column, Column]], block: int = 128) -> Column:
+    """Array of what step(state, item) = (next state, array of results) gives for each item in order. Arrays grow within
+    blocks and blocks within a list of them, so long arrays are not copied for each item."""
+    some, none = f"array<{out}>", F.array()
+
+    def inner(s: Column, x: Column) -> Column:
+        made = F.struct(*[c.alias(k) for k, c in zip(("state", "more"), step(s["state"], x), strict=True)])
+        return let(made, lambda r: F.struct(r["state"].alias("state"), F.concat(s["out"], r["more"]).alias("out")))
+
+    def outer(s: Column, part: Column) -> Column:
+        one = F.aggregate(part, F.struct(s["state"].alias("state"), none.cast(some).alias("out")), inner)
+        return let(one, lambda r: F.struct(r["state"].alias("state"), F.concat(s["out"], F.array(r["out"])).alias("out")))
+
+    def whole(x: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / block).cast("int")), lambda k: F.slice(x, k * block + 1, F.lit(block)))
+        made = F.aggregate(parts, F.struct(state.alias("state"), none.cast(f"array<{some}>").alias("out")), outer, lambda s: F.flatten(s["out"]))
+        return F.when(F.size(x) > 0, made).otherwise(none.cast(some))
+
+    return let(items, whole)

@@ -16,11 +16,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import let, running, table
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]++"
-#: Characters around a keyword in which its rules are tried; all matches are shorter.
-REACH = 300
+#: Words around a keyword in which its rules are tried: no rule can match more, whatever their length.
+REACH = 40
+PLACES = "array<struct<start:int,end:int>>"
+DETECTION = "struct<start:int,end:int,label:string,rule:string>"
 #: The phrases that are counted in every text, with their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
@@ -176,28 +178,14 @@ def spaces(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
 
-def let(value: Column, body) -> Column:
-    """body(value), with value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _places(line: Column, pattern: Column) -> Column:
-    """Array of (start, end) of a pattern's matches, in words from 0, end exclusive. What lies between the matches
-    gives where they are."""
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    start = F.struct(F.lit(-1).alias("at"), none.alias("found"))
-
-    def add(state: Column, x: Column) -> Column:
-        first = state["at"] + x["gap"]
-        last = first + x["own"]
-        return F.struct(last.alias("at"), F.concat(state["found"], F.array(F.struct(first.alias("start"), (last + 1).alias("end")))).alias("found"))
-
-    def located(whole: Column, inside: Column) -> Column:
-        between = F.slice(F.transform(F.split(line, whole, -1), spaces), 1, F.size(inside))
-        return F.aggregate(F.arrays_zip(between.alias("gap"), F.transform(inside, spaces).alias("own")), start, add, lambda s: s["found"])
-
+    """Array of (start, end) of a pattern's matches, in words from 0, end exclusive. Matches are whole words: signs are set
+    before the first and after the last of each, which stand in no word."""
     whole = F.concat(F.lit("(?<= )(?:"), pattern, F.lit(")(?= )"))
-    return let(F.regexp_extract_all(line, whole, F.lit(0)), lambda inside: F.when(F.size(inside) > 0, located(whole, inside)).otherwise(none))
+    words = F.split(F.trim(F.regexp_replace(line, whole, F.lit("\x01$0\x02"))), " ")
+    at = lambda sign: F.filter(F.transform(words, lambda w, i: F.when(F.contains(w, F.lit(sign)), i)), lambda i: i.isNotNull())
+    found = F.transform(F.arrays_zip(at("\x01").alias("a"), at("\x02").alias("b")), lambda x: F.struct(x["a"].alias("start"), (x["b"] + 1).alias("end")))
+    return F.when(F.rlike(line, whole), found).otherwise(F.array().cast(PLACES))
 
 
 def detections(line: Column, rule_list: list[Rule]) -> Column:
@@ -209,34 +197,30 @@ def detections(line: Column, rule_list: list[Rule]) -> Column:
     def literal(rs: list[Rule]) -> Column:
         return F.array(*[F.struct(F.lit(r.priority).alias("priority"), F.lit(r.name).alias("name"), F.lit(r.label).alias("label"), F.lit(r.pattern).alias("pattern")) for r in rs])
 
-    words = F.array(*[F.struct(F.lit(" " + k).alias("word"), literal(rs).alias("rules")) for k, rs in by_word.items()])
-
-    def around(w: Column) -> Column:
-        """The surroundings of each place of a keyword, with the number of words before them."""
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found"))
-
-        def add(state: Column, gap: Column) -> Column:
-            at = state["at"] + gap
-            return F.struct((at + F.length(w["word"])).alias("at"), F.concat(state["found"], F.array(F.greatest(F.lit(0), at - REACH))).alias("found"))
-
-        begins = F.aggregate(F.transform(F.split(line, w["word"], -1), F.length), start, add, lambda s: F.slice(s["found"], F.lit(1), F.size(s["found"]) - 1))
-        return F.transform(begins, lambda at: F.struct(F.substring(line, at + 1, F.lit(2 * REACH)).alias("line"), spaces(F.substring(line, F.lit(1), at)).alias("before")))
+    table = F.array(*[F.struct(F.lit(f" {k}").alias("word"), literal(rs).alias("rules")) for k, rs in by_word.items()])
+    heads = f"^(?:{'|'.join(sorted({k.split(' ')[0] + ('$' if ' ' in k else '') for k in by_word}))})"
 
     def tried(x: Column, r: Column) -> Column:
-        return F.transform(_places(x["line"], r["pattern"]), lambda p: F.struct((p["start"] + x["before"]).alias("start"), (-p["end"] - x["before"]).alias("back"), r["priority"].alias("priority"), r["label"].alias("label"), r["name"].alias("rule")))
+        own = F.filter(_places(x["line"], r["pattern"]), lambda p: (p["start"] <= x["at"]) & (x["at"] < p["end"]))  # the others are found where their own keyword stands
+        return F.transform(own, lambda p: F.struct((p["start"] + x["before"]).alias("start"), (-p["end"] - x["before"]).alias("back"), r["priority"].alias("priority"), r["label"].alias("label"), r["name"].alias("rule")))
 
-    def matches(w: Column) -> Column:
-        return let(around(w), lambda near: F.flatten(F.transform(w["rules"], lambda r: F.flatten(F.transform(near, lambda x: tried(x, r))))))
+    def around(words: Column, i: Column) -> Column:
+        """The words about number i as a line, the number of the first, and the line from i on."""
+        first = F.greatest(F.lit(0), i - REACH)
+        line_of = lambda a, n: F.concat(F.lit(" "), F.array_join(F.slice(words, a + 1, n), " "), F.lit(" "))
+        return F.struct(line_of(first, i - first + REACH).alias("line"), first.alias("before"), (i - first).alias("at"), line_of(i, F.lit(REACH)).alias("on"))
 
-    found = F.flatten(F.transform(F.filter(words, lambda w: F.contains(line, w["word"])), matches))
-    kept = F.struct(F.lit(-1).alias("end"), F.array().cast("array<struct<start:int,end:int,label:string,rule:string>>").alias("kept"))
+    def matches(words: Column) -> Column:
+        """What the rules find about each word with which a keyword may begin."""
+        at = F.filter(F.transform(words, lambda w, i: F.when(w.rlike(heads), i)), lambda i: i.isNotNull())
+        of = lambda x: F.flatten(F.transform(F.filter(table, lambda w: F.startswith(x["on"], w["word"])), lambda w: F.flatten(F.transform(w["rules"], lambda r: tried(x, r)))))
+        return F.flatten(F.transform(F.transform(at, lambda i: around(words, i)), of))
 
-    def add(state: Column, x: Column) -> Column:
-        end = -x["back"]
-        item = F.struct(x["start"].alias("start"), end.alias("end"), x["label"].alias("label"), x["rule"].alias("rule"))
-        return F.when(end <= state["end"], state).otherwise(F.struct(end.alias("end"), F.concat(state["kept"], F.array(item)).alias("kept")))
+    def add(end: Column, x: Column) -> tuple[Column, Column]:
+        item = F.struct(x["start"].alias("start"), (-x["back"]).alias("end"), x["label"].alias("label"), x["rule"].alias("rule"))
+        return F.greatest(end, -x["back"]), F.when(-x["back"] <= end, F.array().cast(f"array<{DETECTION}>")).otherwise(F.array(item))
 
-    return F.aggregate(F.array_sort(found), kept, add, lambda s: s["kept"])
+    return let(F.array_sort(F.array_distinct(let(F.split(F.trim(line), " "), matches))), lambda found: running(found, F.lit(-1), DETECTION, add))
 
 
 def keyword_gate(keywords: set[str]) -> str:
@@ -252,9 +236,9 @@ def scan(docs: DataFrame) -> DataFrame:
     rule_list = rules()
     gate = keyword_gate({r.keyword for r in rule_list})
     lined = docs.select("doc_id", word_line(F.col("text")).alias("line"))
-    none = F.array().cast("array<struct<start:int,end:int,label:string,rule:string>>")
+    none = F.array().cast(f"array<{DETECTION}>")
     found = F.when(F.col("line").rlike(gate), detections(F.col("line"), rule_list)).otherwise(none)
-    base = [F.when(F.contains("line", F.lit(f" {phrase} ")), _places(F.col("line"), F.lit(phrase))).otherwise(F.array().cast("array<struct<start:int,end:int>>")).alias(label) for phrase, label in BASE]
+    base = [F.when(F.contains("line", F.lit(f" {phrase} ")), _places(F.col("line"), F.lit(phrase))).otherwise(F.array().cast(PLACES)).alias(label) for phrase, label in BASE]
     return lined.select("doc_id", (spaces(F.col("line")) - 1).cast("long").alias("n_words"), *base, found.alias("detections"))
 
 

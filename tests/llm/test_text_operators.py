@@ -284,6 +284,10 @@ def test_license_keywords_stand_in_all_matches(spark):
     for r in licenses.rules():
         found = spelt(r.pattern)
         assert found and all(re.fullmatch(r.pattern, t) and f" {r.keyword}" in f" {t} " for t in found), r.name
+    assert max(t.count(" ") + 3 for r in licenses.rules() for t in spelt(r.pattern)) < licenses.REACH
+    long = licenses.scan(table(spark, ["SPDX-License-Identifier: " + "a" * 700, "cc by " * 3000 + "x " * 100_000 + "mit license"])).collect()
+    assert {r.doc_id: {d.label for d in r.detections} for r in long} == {0: {"spdx"}, 1: {"cc-by", "mit"}}
+    assert {r.doc_id: len(r["cc-by"]) for r in long} == {0: 0, 1: 3000}
     rows = ["an additional grant of patent rights", "a trademark of X", "a registered trademark of X", "trademarks are the property of their respective owners"]
     got = {r.doc_id: [d.label for d in r.detections] for r in licenses.scan(table(spark, rows)).collect()}
     assert got == {0: ["patent-grant"], 1: ["trademark"], 2: ["trademark"], 3: ["trademark"]}
