@@ -197,24 +197,34 @@ def detections(line: Column, rule_list: list[Rule]) -> Column:
     def literal(rs: list[Rule]) -> Column:
         return F.array(*[F.struct(F.lit(r.priority).alias("priority"), F.lit(r.name).alias("name"), F.lit(r.label).alias("label"), F.lit(r.pattern).alias("pattern")) for r in rs])
 
-    table = F.array(*[F.struct(F.lit(f" {k}").alias("word"), literal(rs).alias("rules")) for k, rs in by_word.items()])
-    heads = f"^(?:{'|'.join(sorted({k.split(' ')[0] + ('$' if ' ' in k else '') for k in by_word}))})"
+    def entry(k: str, rs: list[Rule]) -> Column:
+        """A keyword, its first word, whether that is a whole word of it, and its rules."""
+        return F.struct(F.lit(f" {k}").alias("word"), F.lit(k.split(" ")[0]).alias("head"), F.lit(" " in k).alias("exact"), literal(rs).alias("rules"))
+
+    table = F.array(*[entry(k, rs) for k, rs in by_word.items()])
 
     def tried(x: Column, r: Column) -> Column:
         own = F.filter(_places(x["line"], r["pattern"]), lambda p: (p["start"] <= x["at"]) & (x["at"] < p["end"]))  # the others are found where their own keyword stands
         return F.transform(own, lambda p: F.struct((p["start"] + x["before"]).alias("start"), (-p["end"] - x["before"]).alias("back"), r["priority"].alias("priority"), r["label"].alias("label"), r["name"].alias("rule")))
 
     def around(words: Column, i: Column) -> Column:
-        """The words about number i as a line, the number of the first, and the line from i on."""
+        """The words about number i as a line, and the number of the first."""
         first = F.greatest(F.lit(0), i - REACH)
-        line_of = lambda a, n: F.concat(F.lit(" "), F.array_join(F.slice(words, a + 1, n), " "), F.lit(" "))
-        return F.struct(line_of(first, i - first + REACH).alias("line"), first.alias("before"), (i - first).alias("at"), line_of(i, F.lit(REACH)).alias("on"))
+        return F.struct(line_of(words, first, i - first + REACH).alias("line"), first.alias("before"), (i - first).alias("at"))
+
+    def line_of(words: Column, first: Column, n: Column) -> Column:
+        return F.concat(F.lit(" "), F.array_join(F.slice(words, first + 1, n), " "), F.lit(" "))
 
     def matches(words: Column) -> Column:
-        """What the rules find about each word with which a keyword may begin."""
-        at = F.filter(F.transform(words, lambda w, i: F.when(w.rlike(heads), i)), lambda i: i.isNotNull())
-        of = lambda x: F.flatten(F.transform(F.filter(table, lambda w: F.startswith(x["on"], w["word"])), lambda w: F.flatten(F.transform(w["rules"], lambda r: tried(x, r)))))
-        return F.flatten(F.transform(F.transform(at, lambda i: around(words, i)), of))
+        """What the rules find about each place of a keyword that the text holds."""
+
+        def of(k: Column) -> Column:
+            begins = lambda w: F.when(k["exact"], w == k["head"]).otherwise(F.startswith(w, k["head"]))
+            at = F.filter(F.transform(words, lambda w, i: F.when(begins(w), i)), lambda i: i.isNotNull())
+            real = F.filter(at, lambda i: ~k["exact"] | F.startswith(line_of(words, i, F.lit(REACH)), k["word"]))
+            return F.flatten(F.transform(F.transform(real, lambda i: around(words, i)), lambda x: F.flatten(F.transform(k["rules"], lambda r: tried(x, r)))))
+
+        return F.flatten(F.transform(F.filter(table, lambda k: F.contains(line, k["word"])), of))
 
     def add(end: Column, x: Column) -> tuple[Column, Column]:
         item = F.struct(x["start"].alias("start"), (-x["back"]).alias("end"), x["label"].alias("label"), x["rule"].alias("rule"))

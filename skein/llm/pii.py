@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, checkpointed, let, running, table
+from .common import checkpointed, let, running, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Possessive forms of the given patterns: they match the same spans, without backtracking or deep recursion. A match
@@ -197,9 +197,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """docs with every base span replaced by its kind, and disclosing terms generalised or removed."""
-    with Scratch(docs.sparkSession) as tmp:
-        found = tmp.stored(scan_texts(docs), "pii")
-        terms = term_spans(found, disclosures(docs, found))
+    found = checkpointed(scan_texts(docs))
+    terms = term_spans(found, disclosures(docs, found))
     terms = F.broadcast(terms) if terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else terms
     whole = F.col("row.text")
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
