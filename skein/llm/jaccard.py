@@ -41,9 +41,9 @@ WORDS, PERCENT = 5, 75
 TOKEN_BITS = 56
 TOKEN = np.uint64((1 << TOKEN_BITS) - 1)
 #: Shingles and classes of a chunk, and shingles of a bucket on average: what one task sorts at once.
-CHUNK, CHUNK_CLASSES, BUCKET = 1 << 22, 60_000, 1 << 21
+CHUNK, CHUNK_CLASSES, BUCKET = 1 << 20, 60_000, 1 << 20
 #: Sets of one chunk from which a shingle of theirs is sent as a count.
-MANY = 64
+MANY = 32
 #: Stands for "all of the chunk's sets that the chunk knows to hold it".
 ALL = 0xFFFF
 #: Parts of a set that the suffix filter compares.
