@@ -22,8 +22,10 @@ def main() -> None:
     a = p.parse_args()
     spark = SparkSession.builder.getOrCreate()
     if a.command == "run":
-        items, warnings = feeds.read_feeds(spark, feeds.feed_configs(a.feeds), a.since)
-        print(json.dumps(ingest_batch(spark, items.persist(), a.root, a.run_id) | {"warnings": [r[0] for r in warnings.collect()]}))
+        configs = feeds.feed_configs(a.feeds)
+        items, warnings = feeds.read_feeds(spark, configs, a.since)
+        told = tuple(r[0] for r in warnings.collect())  # a row a feed at most
+        print(json.dumps(ingest_batch(spark, items, a.root, a.run_id, a.since, told, len(configs))))
     print(json.dumps(compiled(*[jsonl.read(spark, f"{a.root}/{t}", t) for t in ("sources", "claims", "edges", "tasks")])))
 
 

@@ -102,9 +102,17 @@ def sharpest_fault(edges: DataFrame) -> DataFrame:
     return edges.where(F.coalesce("verified", F.lit(False))).agg(top.alias("t")).where(F.col("t").isNotNull()).select("t.*")
 
 
+def fault_ends(fault: DataFrame, claims: DataFrame, sources: DataFrame) -> DataFrame:
+    """The fault with the text (140 characters) and the source's url of either end."""
+    ends = claims.join(sources.select(F.col("id").alias("source_id"), "url"), "source_id", "left").select("id", F.substring("text", 1, 140).alias("text"), F.col("url").alias("src"))
+    of = lambda k: ends.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}"), F.col("src").alias(f"src_{k}"))
+    return fault.join(of("a"), "a").join(of("b"), "b")
+
+
 def claim_feeds(claims: DataFrame, sources: DataFrame) -> DataFrame:
-    """A claim's feed: its source's, else the part of source_id after src_, else unknown."""
-    last = sources.groupBy(F.col("id").alias("source_id")).agg(F.last("feed").alias("feed"))
+    """A claim's feed: its source's (of several records the one of the last run), else the part of source_id after src_,
+    else unknown."""
+    last = sources.groupBy(F.col("id").alias("source_id")).agg(F.max_by("feed", F.struct("run_id", "feed") if "run_id" in sources.columns else F.col("feed")).alias("feed"))
     guess = F.nullif(F.regexp_extract(F.coalesce("source_id", F.lit("")), "^src_([^_]+)", 1), F.lit(""))
     return claims.join(last, "source_id", "left").withColumn("feed", F.coalesce(F.nullif(F.col("feed"), F.lit("")), guess, F.lit("unknown")))
 

@@ -186,6 +186,21 @@ def evaluated(signals: DataFrame, directions: DataFrame, factors: DataFrame, sco
     return scores, ranked(direction_scores(scores, model))
 
 
+def backing(signals: DataFrame) -> DataFrame:
+    """direction_id, claim_id, best: the claims behind each direction, configured or not, with their best strength times
+    relevance."""
+    named = signals.where(F.coalesce("proposition_id", F.lit("")) != "")
+    return named.groupBy("direction_id", F.col("proposition_id").alias("claim_id")).agg(F.greatest(F.lit(0.0), F.max(F.col("strength") * F.col("relevance"))).alias("best"))
+
+
+def samples(backed: DataFrame, claims: DataFrame, most: int = 4, chars: int = 200) -> DataFrame:
+    """direction_id, place, id, text: each direction's strongest claims; a claim that is not stored has an empty text."""
+    order = Window.partitionBy("direction_id").orderBy(F.col("best").desc(), "claim_id")
+    top = backed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+    text = F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("text")
+    return top.join(claims.select(F.col("id").alias("claim_id"), "text"), "claim_id", "left").select("direction_id", "place", F.col("claim_id").alias("id"), text)
+
+
 def option_scores(estimates: DataFrame, criteria: DataFrame, options: DataFrame, attitude: str = "neutral", default: tuple[float, float, float, float] = MISSING_PRIOR, mix: float = 0.5) -> DataFrame:
     """Options judged on criteria: estimates (option_id, criterion_id, est), criteria (criterion_id, weight, cost), options
     (option_id, ord, constraints array<struct<hard,satisfied,penalty>>, outcomes array<struct<p,value>>)."""

@@ -7,9 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows up to which one task numbers a whole table; larger ones are numbered by range.
-ONE_TASK = 1_000_000
-
+from .durable import kept
 
 def numeric_suffix(id_: Column, prefix: str) -> Column:
     return F.expr(f"try_cast(regexp_extract({_sql(id_)}, '^{prefix}_([0-9]+)$', 1) as bigint)") if isinstance(id_, str) else F.regexp_extract(id_, f"^{prefix}_([0-9]+)$", 1).try_cast("bigint")
@@ -25,12 +23,12 @@ def last_number(table: DataFrame, prefix: str) -> DataFrame:
 
 
 def numbered(rows: DataFrame, order: list[str], column: str = "n") -> DataFrame:
-    """rows with 1, 2, ... in the order given. Rows are dealt by range and sorted; each range's count, summed over those
-    before, is the offset of its own numbers, so that no task sees all rows."""
+    """rows with 1, 2, ... in the order given. Rows are dealt by range once and kept, as another reading could draw other
+    bounds; each range's count, summed over those before, is the offset of its own numbers, so that no task sees all."""
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(tasks, *order).withColumn("part_", F.spark_partition_id())
+    dealt = kept(rows.repartitionByRange(tasks, *order).withColumn("part_", F.spark_partition_id()))
     counts = dealt.groupBy("part_").agg(F.count("*").alias("held_"))
-    before = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     base = counts.select("part_", F.coalesce(F.sum("held_").over(before), F.lit(0)).alias("base_"))
     inside = F.row_number().over(Window.partitionBy("part_").orderBy(*order))
     return dealt.withColumn("in_", inside).join(F.broadcast(base), "part_").withColumn(column, F.col("base_") + F.col("in_")).drop("part_", "in_", "base_")

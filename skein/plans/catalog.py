@@ -380,3 +380,112 @@ def q_risk_adjusted(spark, sf):
 def q_claims_by_direction(spark, sf):
     x = _signals(spark, sf).select("direction_id", D.group_key().alias("dep"), D.signal_weight().alias("w"))
     return x.groupBy("direction_id").agg(F.countDistinct("dep").alias("groups"), F.max("w").alias("best"))
+
+
+@query("""select event_type as direction_id, user_id::varchar as claim_id, round(max(((event_id * 11) % 97)::double / 97 * (((event_id * 13) % 89)::double / 89)), 6) as best
+ from events where event_id % 5 <> 0 group by all""")
+def q_decision_backing(spark, sf):
+    return D.backing(_signals(spark, sf).withColumn("proposition_id", F.col("dependency_key"))).select("direction_id", "claim_id", F.round("best", 6).alias("best"))
+
+
+@query("""with b as (select event_type as direction_id, user_id::varchar as id, max(((event_id * 11) % 97)::double / 97 * (((event_id * 13) % 89)::double / 89)) as best from events where event_id % 5 <> 0 group by all),
+ t as (select *, row_number() over (partition by direction_id order by best desc, id) as place from b)
+ select direction_id, place, id, coalesce(left(text, 200), '') as text from t left join documents on doc_id::varchar = id where place <= 4""")
+def q_direction_samples(spark, sf):
+    claims = read(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "text")
+    found = D.samples(D.backing(_signals(spark, sf).withColumn("proposition_id", F.col("dependency_key"))), claims)
+    return found.select("direction_id", F.col("place").cast("long").alias("place"), "id", "text")
+
+
+@query("""with b as (select event_type as d, ['scale', 'neglectedness', 'tractability', 'personal_fit', 'leverage', 'career_capital', 'downside_risk', 'epistemic_robustness'][(json_extract_string(props, '$.k')::bigint % 8) + 1] as f from events),
+ known as (select distinct d from b where d <> (select min(d) from b))
+ select distinct 'direction' as kind, d as id from b where d not in (select d from known) union select distinct 'factor', f from b where d in (select d from known) and f in ('downside_risk', 'epistemic_robustness')""")
+def q_unknown_ids(spark, sf):
+    signals = _signals(spark, sf)
+    least = signals.agg(F.min("direction_id").alias("least"))
+    known = signals.select("direction_id").distinct().join(least, F.col("direction_id") != F.col("least")).select("direction_id")
+    return D.unknown_ids(signals, known, D.factor_table(spark).where("ord < 6"))
+
+
+# Protocol -----------------------------------------------------------------------------------------------------------
+
+@query(f"""{_EDGES}, f as (select * from edges where verified order by confidence desc, a desc, b desc limit 1)
+ select a, b, confidence, note, left(x.text, 140) as text_a, x.source || '/u' as src_a, left(y.text, 140) as text_b, y.source || '/u' as src_b from f join documents x on x.doc_id = a join documents y on y.doc_id = b""")
+def q_fault_ends(spark, sf):
+    docs = read(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("source_id"), "text")
+    sources = docs.select(F.col("source_id").alias("id"), F.concat("source_id", F.lit("/u")).alias("url")).distinct()
+    return A.fault_ends(A.sharpest_fault(_edges(spark, sf)), docs, sources)
+
+
+@query(f"""{_EDGES} select a, b, case when relation = 'contradicts' and a % 3 = 2 then 'same' else relation end as relation, relation = 'contradicts' or verified as verified, case when relation = 'contradicts' then 'v-2' end as verifier
+ from edges where not (relation = 'contradicts' and a % 3 = 1)""")
+def q_apply_verification(spark, sf):
+    edges = _edges(spark, sf).select("a", "b", "relation", "verified", F.lit(None).cast("string").alias("verifier"))
+    verdict = F.when(F.col("a") % 3 == 0, "confirm").when(F.col("a") % 3 == 1, "remove").otherwise("same")
+    return G.apply_verification(edges, edges.where("relation = 'contradicts'").select("a", "b", "relation", verdict.alias("verdict"), F.lit("v-2").alias("verifier")))
+
+
+@query(f"""{_EDGES} select case when relation = 'supports' then a else least(a, b) end as a, case when relation = 'supports' then b else greatest(a, b) end as b, relation from (select b as a, a as b, relation, (a + b) % 5 as k from edges) where k <> 0""")
+def q_edge_directions(spark, sf):
+    """Judged pairs, turned round; every fifth is unrelated and leaves no edge."""
+    e = _edges(spark, sf)
+    judged = e.select(F.col("b").alias("a"), F.col("a").alias("b"), F.when((F.col("a") + F.col("b")) % 5 == 0, "unrelated").otherwise(F.col("relation")).alias("relation"))
+    return G.upsert_edges(judged.limit(0), judged).select("a", "b", "relation")
+
+
+@query("select o_orderkey as id, case when o_orderkey % 3 = 0 then 'done' else o_orderstatus end as status from orders")
+def q_finish_tasks(spark, sf):
+    tasks = read(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    return G.finish_tasks(tasks, tasks.where("id % 3 = 0").select("id", F.lit("done").alias("result")))
+
+
+@query("select o_orderkey as id from orders where o_orderstatus = 'O' and o_orderpriority = '1-URGENT' order by o_orderkey limit 50")
+def q_take_batch(spark, sf):
+    status = F.when(F.col("o_orderstatus") == "O", "pending").otherwise("done")
+    return G.take_batch(read(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("kind"), status.alias("status")), "1-URGENT").select("id")
+
+
+@query("""select status, count(*) as n from (select case when o_orderkey % 5 = 0 then 'retired' else o_orderstatus end as status from orders union all select 'refined' from orders where o_orderkey % 5 = 0) group by status""")
+def q_refine(spark, sf):
+    claims = read(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status"))
+    new = claims.where("cast(id as bigint) % 5 = 0").select(F.concat(F.lit("r"), "id").alias("id"), F.col("id").alias("refines_claim"))
+    return G.refine(claims, new).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query("select o_orderkey as id, split_part(o_orderpriority, '-', 1) <> split_part(o_orderstatus || '-x', '-', 1) as allowed from orders")
+def q_may_verify(spark, sf):
+    allowed = G.may_verify(F.col("o_orderpriority"), F.concat("o_orderstatus", F.lit("-x")))
+    return read(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), allowed.alias("allowed"))
+
+
+@query("select o_orderkey::varchar as id from orders where o_orderkey % 4 <> 0")
+def q_missing_refine(spark, sf):
+    rows = read(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
+    tasks = rows.where("cast(id as bigint) % 4 = 0").select(F.lit("refine").alias("kind"), F.struct(F.col("id").alias("claim_id")).alias("payload"))
+    return G.missing_refine_tasks(rows, tasks)
+
+
+@query("select o_orderstatus as feed, count(*) as n from orders where o_orderdate::date >= date '1996-01-01' group by 1")
+def q_since(spark, sf):
+    items = read(spark, sf, "orders").select(F.col("o_orderstatus").alias("feed"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("published"))
+    return G.recent(items, "1996-01-01").groupBy("feed").agg(F.count("*").alias("n"))
+
+
+@query("select source as feed, doc_id from (select source, doc_id, row_number() over (partition by source order by doc_id) as place from documents) where place <= length(source)")
+def q_feed_limits(spark, sf):
+    items = read(spark, sf, "documents").select(F.col("source").alias("feed"), "doc_id")
+    limits = items.select("feed", F.length("feed").alias("limit")).distinct()
+    return G.limited(items, limits, "doc_id").select("feed", "doc_id")
+
+
+@query(f"""select conv_id, turn from conversations where not (regexp_matches(text, '^\\p{{Ll}}') or len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) < 5
+  or regexp_replace(lower(regexp_extract(text, '^\\S+')), '[,.;:]+$', '') in {L.DANGLING_HEADS})""")
+def q_pairable(spark, sf):
+    return read(spark, sf, "conversations").where(~T.needs_refining(F.col("text"))).select("conv_id", "turn")
+
+
+@query("select x.vec_id, round(list_cosine_similarity(x.embedding::double[], y.embedding::double[]), 6) as sim from embeddings x join embeddings y on y.vec_id = x.vec_id + 1")
+def q_cosine(spark, sf):
+    rows = read(spark, sf, "embeddings")
+    after = rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("next"))
+    return rows.join(after, "vec_id").select("vec_id", F.round(S.cosine(F.col("embedding"), F.col("next")), 6).alias("sim"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.html import strip_html
+from ..operators.durable import kept
 
 ITEM = "feed string, item_key string, url string, title string, author string, published string, text string, content_sha256 string, error string"
 FEED = "key string, kind string, url string, view string, query string, limit int"
@@ -142,9 +143,10 @@ class FeedSource(DataSource):
 
 
 def read_feeds(spark: SparkSession, feeds: list[dict], since: str = "", bodies: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(items, warnings)."""
+    """(items, warnings). Every feed is fetched once: what was read is kept before the two are parted."""
     spark.dataSource.register(FeedSource)
     rows = spark.read.format("feeds").option("feeds", json.dumps(feeds)).option("since", since).option("bodies", json.dumps(bodies or {})).load()
+    rows = kept(rows)
     return rows.where(F.col("error").isNull()).drop("error"), rows.where(F.col("error").isNotNull()).select(F.col("error").alias("warning"))
 
 

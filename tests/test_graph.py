@@ -144,3 +144,40 @@ def test_proposition_signals(spark):
     got = {r.proposition_id: r for r in D.proposition_signals(spark.createDataFrame(rows, cols)).collect()}
     assert got["p1"].evidence_quality == pytest.approx(0.35 + 0.14 + 0.18) and got["p1"].dependency_key == "c9"
     assert got["p2"].evidence_quality == pytest.approx(1.0) and got["p2"].dependency_key == "k"
+
+
+def test_numbers_of_many_rows(spark):
+    """Ranges are drawn from a sample here; ids must have no gap and no double."""
+    rows = spark.range(3_000_000, numPartitions=16).select(F.xxhash64("id").alias("k"), F.lit("x" * 20).alias("more"))
+    got = G.numbered(rows, ["k"]).agg(F.countDistinct("n"), F.min("n"), F.max("n")).first()
+    assert tuple(got) == (3_000_000, 1, 3_000_000)
+
+
+def test_pair_tasks_and_replay(spark, tmp_path):
+    root = f"file://{tmp_path}/p"
+    text = "The new law reduced carbon emissions by 40 percent in 2020 across Europe."
+    cols = "feed string, item_key string, url string, title string, author string, published string, text string, content_sha256 string"
+    rows = [("f", k, "u", "t", "", "2026-01-01", text, "s") for k in ("a", "b")]
+    first = ingest_batch(spark, spark.createDataFrame(rows[:1], cols), root, "r1")
+    assert first["tasks_enqueued"]["identity_edge"] == 0
+    for _ in range(2):  # the second try of a run replaces the first
+        two = ingest_batch(spark, spark.createDataFrame(rows, cols), root, "r2", since="2025-01-01", warnings=("w",))
+        assert (two["items_new"], two["items_skipped"], two["warnings"]) == (1, 1, ["w"])
+    claims = jsonl.read(spark, f"{root}/claims", "claims")
+    assert claims.count() == claims.select("id").distinct().count() == first["claims_extracted"] + two["claims_extracted"]
+    pairs = jsonl.read(spark, f"{root}/tasks", "tasks").where("kind in ('identity', 'edge')").collect()
+    assert pairs and all(t.payload.sim == 1.0 and t.kind == "identity" and t.payload.a < t.payload.b for t in pairs)
+    assert json.loads("".join(r[0] for r in spark.read.text(f"{root}/runs/r2.json").collect()))["items_new"] == 1
+
+
+def test_signal_files(spark, tmp_path):
+    path = f"file://{tmp_path}/s"
+    spark.createDataFrame([('{"id": "s1", "direction_id": "d", "factor_id": "f", "strength": 0.25, "text": "x"}',), ("",)], "value string").write.text(path)
+    got = jsonl.read_signals(spark, path)
+    assert [(r.id, r.strength, r.relevance, r.polarity) for r in got.collect()] == [("s1", 0.25, 1.0, "supports")]
+    jsonl.write_signals(got, path + "2")
+    assert jsonl.read_signals(spark, path + "2").collect() == got.collect()
+    for bad in ('{"id": "", "direction_id": "d", "factor_id": "f"}', '{"id": "x", "direction_id": "d", "factor_id": "f", "credence": 2}', "{no"):
+        spark.createDataFrame([(bad,)], "value string").write.mode("overwrite").text(path + "3")
+        with pytest.raises(Exception, match="invalid signal"):
+            jsonl.read_signals(spark, path + "3").collect()
