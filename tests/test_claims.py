@@ -94,4 +94,8 @@ def test_markup():
     assert strip_html(None) == ""
     assert plain_markdown("**bold** [link](u) ![i](u) `a*b` $5 and $6 x<sup><a>2</a></sup> $x_1$ | t |") == "bold link i a*b $5 and $6 x[2] $x_1$ | t |"
     assert plain_markdown("| a | b |\ntext[^1] <b>x</b>") == "text[1] x"
+    assert plain_markdown("x <sup>[1, 2]</sup> y [![a](b)](c) **d `e*f` g** _h_ __i__ <!-- j --> k<br>l \\$5") == "x[1, 2] y a d e*f g h i  k\nl \\$5"
+    assert plain_markdown("```\n*a* | b\n```\n$$c_d_e$$ *f*") == "```\n*a* | b\n```\n$$c_d_e$$ f"
+    fenced = 'import {\n A,\n B } from "x"\n\n```\nimport a from "b"\n```\n<Box a="1">\n<In>\nhi\n</In>\n<Self x={1} />\n</Box>\n<Open>\nexport const q = {\n a: {b: 1}\n}\nend'
+    assert plain_mdx(fenced).split() == ["```", "import", "a", "from", '"b"', "```", "hi", "<Open>", "end"]
     assert plain_mdx('import A from "a"\n<Box>\ntext\n</Box>\nexport const x = {\n a: 1\n}\nend').split() == ["text", "end"]
