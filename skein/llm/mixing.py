@@ -28,6 +28,8 @@ SLOTS_A_BUCKET, CELLS = 1 << 16, 4096
 POINT_BITS = 40
 #: Sources up to which the table of sources is broadcast; it is joined by shuffle beyond.
 SOURCES = 10_000
+#: Equal ranges of slots by which texts are ordered, and marks of all sources, at most.
+RANGES, MARKS = 1024, 200_000
 
 
 def word_count(text: Column) -> Column:
@@ -93,9 +95,9 @@ def digest_of(doc_id: Column, size: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit("mix"), doc_id.cast("string"), size.cast("string")).cast("binary"))
 
 
-def sizes(docs: DataFrame, **more: Column) -> DataFrame:
+def sizes(docs: DataFrame) -> DataFrame:
     size = word_count(F.col("text"))
-    return docs.select("doc_id", "source", size.alias("size"), *[c.alias(k) for k, c in more.items()]).withColumn("digest", digest_of(F.col("doc_id"), F.col("size")))
+    return docs.select("doc_id", "source", size.alias("size")).withColumn("digest", digest_of(F.col("doc_id"), F.col("size")))
 
 
 def slotted(sized: DataFrame, weights: tuple[int, ...], share: float, epochs: int, block_words: int) -> tuple[DataFrame, DataFrame, int]:
@@ -133,24 +135,42 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 
 
 def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """docs as the mix orders them: a row comes once for each reading of its source's stream that takes at least half of
-    its words, at the first slot that takes any; rows are partitioned and sorted by slot.
-
-    Rows of one doc_id and text are numbered, so that each meets its own place in the stream."""
-    key = F.xxhash64("text")
-    _, met, slots = slotted(sizes(docs, key=key), weights, share, epochs, block_words)
-    read = met.groupBy("digest", "key", "sid", "start", "size", "epoch").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
-    at = read.where(2 * F.col("words") >= F.col("size")).groupBy("digest", "key", "sid", "start").agg(F.collect_list("slot").alias("slots"))  # one an epoch
-    same = Window.partitionBy("digest", "key")
-    at = at.withColumn("copy", F.row_number().over(same.orderBy("sid", "start"))).select("digest", "key", "copy", "slots")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), digest_of(docs["doc_id"], word_count(docs["text"])).alias("digest"), F.xxhash64(docs["text"]).alias("key"))
-    rows = rows.withColumn("copy", F.row_number().over(same.orderBy(F.lit(0))))
-    placed = rows.join(at.hint("merge"), ["digest", "key", "copy"]).select("row", F.explode("slots").alias("slot"))
+    """docs as the mix orders them: a row comes once for each reading of its source's stream that takes about half of its
+    words or more, and rows are partitioned and sorted by the slots that take them.
+
+    A source's stream is read in order of digests, so a few digests a source say all: the one where its last reading ends,
+    and those at which its rows come to each of up to RANGES equal ranges of slots. They are broadcast (at most MARKS), texts
+    are shuffled once, to their range, and within it rows of a source stand in order and sources are interleaved by
+    interpolation between its marks."""
+    _, met, slots = slotted(sizes(docs), weights, share, epochs, block_words)
+    read = checkpointed(met.groupBy("source", "sid", "digest", "start", "size", "epoch").agg(F.sum("words").alias("words"), F.min("slot").alias("slot")))
+    times = F.floor(F.sum("words") / F.col("size") + 0.5).cast("int")
+    taken = read.groupBy("source", "digest", "start", "size").agg(times.alias("times"))
+    last = taken.groupBy("source").agg(F.max(F.struct("times", "digest")).alias("last"))
+    ranges = max(1, min(RANGES, MARKS // max(1, epochs * last.count())))
+    cell = F.floor(F.col("slot") * ranges / max(1, slots)).cast("int")
+    marks = read.where(F.col("slot").isNotNull()).groupBy("source", "epoch", cell.alias("cell")).agg(F.min(number_of(F.col("digest"))).alias("low"))
+    lists = marks.groupBy("source", "epoch").agg(F.array_sort(F.collect_list(F.struct("low", "cell"))).alias("marks"))  # up to RANGES
+    plan = checkpointed(lists.join(last, lists["source"].eqNullSafe(last["source"])).select(lists["source"].alias("of"), "epoch", "marks", "last"))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    rows = docs.select(row, docs["source"].alias("source"), digest_of(docs["doc_id"], word_count(docs["text"])).alias("digest"), word_count(docs["text"]).alias("size"))
+    met_ = rows.where(F.col("size") > 0).join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("of")))
+    again = F.when(F.col("digest") <= F.col("last.digest"), F.col("last.times")).otherwise(F.col("last.times") - 1)
+    at = number_of(F.col("digest"))
+    before = F.filter("marks", lambda m: m["low"] <= at)
+    here = F.coalesce(F.try_element_at(before, F.lit(-1)), F.get("marks", F.lit(0)))
+    chosen = met_.where(F.col("epoch") < again).withColumn("here", here).withColumn("next", F.coalesce(F.get("marks", F.size(before))["low"], F.lit(float(1 << 52))))
+    placed = chosen.withColumn("place", F.col("here.cell") + F.least(F.lit(0.999999), F.greatest(F.lit(0.0), (at - F.col("here.low")) / F.greatest(F.lit(1.0), F.col("next") - F.col("here.low")))))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = placed.repartitionById(tasks, F.floor(F.col("slot") * tasks / max(1, slots)).cast("int")).sortWithinPartitions("slot")
+    dealt = placed.select("row", "place", "source").repartitionById(tasks, F.floor(F.col("place") * tasks / ranges).cast("int")).sortWithinPartitions("place", "source")
     return dealt.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
+def number_of(digest: Column) -> Column:
+    """The first 52 bits of a digest, which a double holds exactly."""
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 

@@ -141,6 +141,10 @@ def test_mixing(spark):
     assert again.columns == docs.columns
     words = again.select(F.sum(mixing.word_count(F.col("text")))).first()[0]
     assert abs(words - sum(r.taken for r in got)) < 0.05 * words
+    times = {r.doc_id: r["count"] for r in again.groupBy("doc_id").count().collect()}
+    assert all(abs(times.get(r.doc_id, 0) * r.size - r.taken) <= r.size for r in got)
+    halves = [r.source for r in again.collect()]  # in the schedule's order all sources come throughout
+    assert set(halves[: len(halves) // 2]) == set(halves[len(halves) // 2 :])
     assert mixing.mix(empty(spark)).count() == 0
 
 
