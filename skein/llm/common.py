@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -196,6 +197,19 @@ def lower_ascii(buf: np.ndarray) -> np.ndarray:
     return _LOWER[buf]
 
 
+def lean(run):
+    """run(batches) as a worker's function that gives freed memory back to the system at its end: workers are kept for
+    later tasks, and stages that don't use them need the room."""
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+            trim(0)
+
+    return whole
+
+
 def mapped(df: DataFrame, kernel, schema: str, rows: int = ARROW_ROWS) -> DataFrame:
     """kernel(batch) over Arrow batches, in the executors; it may return one batch or yield several."""
     arrow_rows(df.sparkSession, rows)
@@ -206,7 +220,7 @@ def mapped(df: DataFrame, kernel, schema: str, rows: int = ARROW_ROWS) -> DataFr
                 out = kernel(batch)
                 yield from [out] if isinstance(out, pa.RecordBatch) else out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_rows, checkpointed, chunks, lower_ascii, mix64, table, text_bytes, token_hashes, token_spans
+from .common import Scratch, arrow_rows, checkpointed, chunks, lean, lower_ascii, mix64, table, text_bytes, token_hashes, token_spans
 from .components import components
 
 WORDS, PERCENT = 5, 75
@@ -117,7 +117,7 @@ def classes(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a : a + len(names)], pa.array(np.diff(offs).astype(np.int64)), pa.array(names[:, 0]), pa.array(names[:, 1])], names=["doc_id", "n", "hi", "lo"])
 
     arrow_rows(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, hi long, lo long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, n long, hi long, lo long")
 
 
 # Chunks and buckets.
@@ -212,7 +212,7 @@ def _packed(sets: DataFrame, read, buckets: int) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    return sets.mapInArrow(run, PACKED)
+    return sets.mapInArrow(lean(run), PACKED)
 
 
 def _of_texts(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -292,7 +292,7 @@ def _counted(packed: DataFrame, buckets: int, tasks: int) -> DataFrame:
                 yield _answers(out[k : k + 64])
 
     dealt = packed.repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "chunk long, keys binary, refs binary, names binary")
+    return dealt.mapInArrow(lean(run), "chunk long, keys binary, refs binary, names binary")
 
 
 def _gathered(answers: DataFrame, tasks: int) -> DataFrame:
@@ -319,7 +319,7 @@ def _gathered(answers: DataFrame, tasks: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(names["hi"][some].view(np.int64)), pa.array(names["lo"][some].view(np.int64)), pa.array(names["n"][some]), pa.array([keys[cut[i] : cut[i + 1]].tobytes() for i in some.tolist()], pa.binary())], names=["hi", "lo", "n", "keys"])
 
     dealt = answers.repartitionById(tasks, F.pmod("chunk", F.lit(tasks)).cast("int")).sortWithinPartitions("chunk")
-    return dealt.mapInArrow(run, "hi long, lo long, n int, keys binary")
+    return dealt.mapInArrow(lean(run), "hi long, lo long, n int, keys binary")
 
 
 def shared(docs: DataFrame, shingles: int) -> DataFrame:
@@ -349,7 +349,7 @@ def _prefixes(kept: DataFrame) -> DataFrame:
             pos = np.concatenate([np.arange(a, a + b) for a, b in zip((n - m).tolist(), take.tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[:k] for x, k in zip(keys, take.tolist(), strict=True)]).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), take)), pa.array(np.repeat(n, take).astype(np.int32)), pa.array(pos.astype(np.int32))], names=["token", "node", "n", "pos"])
 
-    return kept.select("node", "n", "keys").mapInArrow(run, "token long, node long, n int, pos int")
+    return kept.select("node", "n", "keys").mapInArrow(lean(run), "token long, node long, n int, pos int")
 
 
 def _close(x: str, y: str) -> Column:
@@ -409,7 +409,7 @@ def _verified(kept: DataFrame, pairs: DataFrame) -> DataFrame:
 
     of = lambda k: kept.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("keys").alias(f"keys_{k}"))
     two = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "n_u", "n_v", "keys_u", "keys_v")
-    return two.mapInArrow(run, "u long, v long, both long, n_u int, n_v int")
+    return two.mapInArrow(lean(run), "u long, v long, both long, n_u int, n_v int")
 
 
 def _rooted(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -501,7 +501,7 @@ def _representatives_by_set(docs: DataFrame) -> DataFrame:
                 part = batch.slice(a, len(names))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array(np.diff(offs))], names=[*batch.schema.names, "jaccard hi of", "jaccard lo of", "jaccard n of"])
 
-    whole = docs.mapInArrow(named, docs.select("*", *[F.lit(0).cast("long").alias(f"jaccard {c} of") for c in ("hi", "lo", "n")]).schema)
+    whole = docs.mapInArrow(lean(named), docs.select("*", *[F.lit(0).cast("long").alias(f"jaccard {c} of") for c in ("hi", "lo", "n")]).schema)
     empty = whole.where(F.col("jaccard n of") == 0).select(*[whole[c] for c in docs.columns])
     met = whole.where(F.col("jaccard n of") > 0).join(stays, whole["doc_id"].eqNullSafe(stays["jaccard id"]) & (whole["jaccard hi of"] == stays["jaccard hi"]) & (whole["jaccard lo of"] == stays["jaccard lo"]), "left_semi")
     one = met.dropDuplicates(["doc_id", "jaccard hi of", "jaccard lo of"])

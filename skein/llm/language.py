@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, chunks, fold_of, mix64, table, text_bytes
+from .common import arrow_rows, chunks, fold_of, lean, mix64, table, text_bytes
 from .linear import labelled_sample, learned, sigmoid
 
 #: Documents of each language that are learnt from, at most; and the features' hash bits.
@@ -195,7 +195,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
 
     arrow_rows(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), F.col("text")).mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return docs.select("doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), F.col("text")).mapInArrow(lean(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

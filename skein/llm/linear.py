@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, chunks, lower_ascii, mix64, text_bytes, token_hashes, token_spans
+from .common import arrow_rows, chunks, lean, lower_ascii, mix64, text_bytes, token_hashes, token_spans
 
 
 #: Bounds of a training sample: its rows, and the features of all of them.
@@ -91,8 +91,8 @@ def learned(sample: DataFrame, make, train):
 
     arrow_rows(sample.sparkSession)
     kinds = [sample.schema[c].dataType.simpleString() for c in ("doc_id", "label")]
-    made = sample.mapInArrow(features, f"doc_id {kinds[0]}, f binary, y {kinds[1]}")
-    found = made.repartition(1).sortWithinPartitions("doc_id", "f").mapInArrow(fitted, "model binary").collect()
+    made = sample.mapInArrow(lean(features), f"doc_id {kinds[0]}, f binary, y {kinds[1]}")
+    found = made.repartition(1).sortWithinPartitions("doc_id", "f").mapInArrow(lean(fitted), "model binary").collect()
     return pickle.loads(found[0][0]) if found else train([], np.zeros(0))
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, checkpointed, stored, table
+from .common import arrow_rows, checkpointed, lean, stored, table
 from .components import components
 
 THRESHOLD = 0.93
@@ -81,7 +81,7 @@ def _by_runs(df: DataFrame, by: list[str], kernel, schema: str, rows: int = 4096
             yield from kernel(rest)
 
     arrow_rows(df.sparkSession, rows)
-    out = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), by[0]).sortWithinPartitions(*by).mapInArrow(run, schema)
+    out = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), by[0]).sortWithinPartitions(*by).mapInArrow(lean(run), schema)
     return out
 
 
@@ -128,10 +128,10 @@ def _forest(nodes: DataFrame, bits: int, dims: int, seed: int = 5) -> DataFrame:
     spark = nodes.sparkSession
     kind = nodes.schema["vec"].dataType.simpleString()
     arrow_rows(spark, 4096)
-    rows = nodes.select("node", "grp", "vec").mapInArrow(coded, f"node long, grp string, vec {kind}, tree int, code long, side double")
+    rows = nodes.select("node", "grp", "vec").mapInArrow(lean(coded), f"node long, grp string, vec {kind}, tree int, code long, side double")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(parts, "grp", "tree", "code", "side").sortWithinPartitions("grp", "tree", "code", "side")
-    return dealt.mapInArrow(near, EDGE)
+    return dealt.mapInArrow(lean(near), EDGE)
 
 
 def _joined(graph: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def audit(nodes: DataFrame, graph: DataFrame, most: int = AUDITED) -> DataFrame:
                 yield _edges(i[a], batch.column(0).to_numpy()[b], np.ones(len(a)))
 
     arrow_rows(nodes.sparkSession, 4096)
-    truth = nodes.select("node", "grp", "vec").mapInArrow(run, EDGE) if rows else nodes.sparkSession.createDataFrame([], EDGE)
+    truth = nodes.select("node", "grp", "vec").mapInArrow(lean(run), EDGE) if rows else nodes.sparkSession.createDataFrame([], EDGE)
     truth = truth.where(F.col("node") != F.col("other")).select("node", "other")
     full = _saturated(graph)
     held = graph.select("node", "other", F.lit(True).alias("held")).unionByName(graph.select(F.col("other").alias("node"), F.col("node").alias("other"), F.lit(True).alias("held"))).distinct()

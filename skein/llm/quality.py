@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, fold_of, table
+from .common import arrow_rows, fold_of, lean, table
 from .linear import ftrl, labelled_sample, learned, sigmoid, sums_by_row, word_features
 
 #: Labelled rows of each label value that are learnt from, at most.
@@ -71,7 +71,7 @@ def scored(docs: DataFrame, model: Model, columns: list[str], folds: int, held:
     arrow_rows(docs.sparkSession)
     rows = docs.select(*columns, (fold_of("doc_id", folds) == held).alias("held_out"), F.col("text").alias("scored_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{kinds}, score double, predicted int")
+    return rows.mapInArrow(lean(run), f"{kinds}, score double, predicted int")
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> Model:
@@ -95,4 +95,4 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
                 yield batch.filter(pa.array(sent.value.scores(batch.column(at)) >= THRESHOLD))
 
     arrow_rows(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
