@@ -23,7 +23,7 @@ from .common import chunks, mapped, table
 
 #: Entries of a worker's tables of segments and of pieces, and characters of the longest that are kept. A full table
 #: becomes the old one, from which what is met again is taken over; this changes no result.
-ENTRIES, LONGEST = 300_000, 200
+ENTRIES, LONGEST = 100_000, 200
 #: Ids that are decoded at once.
 DECODED = 1 << 20
 #: Above this, characters may have been given a class by later Unicode versions than the tokenizer's own,
