@@ -15,6 +15,7 @@ from ..functions.html import html_text
 from ..operators import atlas as A
 from ..operators import claims as C
 from ..operators import decision as D
+from ..operators import options as O
 from ..operators import similarity as S
 from ..operators import tables as G
 
@@ -407,6 +408,34 @@ def q_unknown_ids(spark, sf):
     return D.unknown_ids(signals, known, D.factor_table(spark).where("ord < 6"))
 
 
+_OPTIONS = """with criteria as (select * from (values (0, 'Gain', 1.0::double, 2.0::double, false), (1, 'Reach', 2.0, 1.0, false), (2, 'Cost', 1.5, 1.0, true)) t(j, name, weight, self, cost)),
+ scopes as (select unnest(['self', 'future']) as scope), raw as (select *, ((n_nationkey * (7 + 4 * j)) % 101)::double / 101 as x, (n_nationkey + j) % 7 = 0 as missing from scopes cross join nation cross join criteria),
+ est as (select *, case when missing then 0.25::double else x * 0.8::double end as l, case when missing then 0.5::double else x end as m, case when missing then 0.75::double else least(1::double, x + 0.1::double) end as h, case when scope = 'self' then weight * self else weight end as w from raw),
+ sums as (select scope, n_nationkey, sum(w * case when cost then 1 - m else m end) / sum(w) as criteria, sum(w * case when cost then 1 - h else l end) / sum(w) as low, max(h - l) as width, coalesce(string_agg(name, ', ' order by j) filter (missing), '') as missing_names from est group by all),
+ base as (select *, n_nationkey % 11 = 0 as blocked, case when n_nationkey % 5 = 0 then 0.1::double else 0::double end as soft, case when n_nationkey % 2 = 1 then 0.5 * criteria + 0.5 * 0.6::double * 0.5 * case when scope = 'future' then 1 else 0.5 end else criteria end as b from sums),
+ t as (select *, case when blocked then 0 else greatest(0, least(1, b - soft)) end as total, case when blocked then 0 else greatest(0, least(1, low - soft)) end as robust from base),
+ g as (select *, max(total) filter (not blocked) over (partition by scope) as best, max(robust) filter (not blocked) over (partition by scope) as best_robust from t), r as (select *, case when blocked then 0 else greatest(0, best - total) end as regret from g)
+ select scope, n_nationkey as option_id, round(total, 6) as total_score, round(robust, 6) as robust_score, round(regret, 6) as regret, missing_names, row_number() over (partition by scope order by blocked, total desc, robust desc, n_nationkey) as rank,
+ case when blocked then 'impermissible' when abs(total - best) < 1e-12 then 'recommended' when robust < 0.35 and regret < 0.08 then 'too_risky' when regret < 0.05 and width > 0.25 then 'investigate_first' when regret > 0.20 and robust <= best_robust + 0.02 then 'dominated' else 'permissible' end as status from r"""
+
+
+@query(_OPTIONS)
+def q_option_rank(spark, sf):
+    """Nations as options with made-up criteria, estimates, constraints and outcomes."""
+    n = F.col("n_nationkey")
+    nations = read(spark, sf, "nation").select(n)
+    criteria = spark.createDataFrame([(0, "Gain", 0, 1.0, {"self": 2.0}, False), (1, "Reach", 1, 2.0, {}, False), (2, "Cost", 2, 1.5, {}, True)], "criterion_id int, criterion_name string, cord int, weight double, scope_weights map<string,double>, cost boolean")
+    scopes = spark.createDataFrame([("self", {}), ("future", {})], "scope string, beneficiaries map<string,double>")
+    x = n * (F.col("criterion_id") * 4 + 7) % 101 / F.lit(101.0)
+    known = nations.crossJoin(criteria.select("criterion_id")).where((n + F.col("criterion_id")) % 7 != 0)  # three criteria
+    estimates = known.select(n.alias("option_id"), "criterion_id", D.estimate(x * 0.8, x, F.least(F.lit(1.0), x + 0.1), F.lit(0.5)).alias("est"))
+    rule = lambda hard, every, penalty: F.struct(F.lit(hard).alias("hard"), (n % every != 0).alias("satisfied"), F.lit(penalty).alias("penalty"))
+    branch = F.struct(F.lit(0.5).alias("p"), D.estimate(*map(F.lit, (0.4, 0.6, 0.8, 0.5))).alias("value"), F.lit("future").alias("scope"))
+    options = nations.select(n.alias("option_id"), n.cast("string").alias("option_name"), n.alias("ord"), F.array(rule(True, 11, 0.0), rule(False, 5, 0.1)).alias("constraints"), F.filter(F.array(branch), lambda _: n % 2 == 1).alias("outcomes"))
+    ranks = O.evaluated(options, criteria, estimates, scopes)[1]
+    return ranks.select("scope", "option_id", *[F.round(c, 6).alias(c) for c in ("total_score", "robust_score", "regret")], F.coalesce("missing_names", F.lit("")).alias("missing_names"), F.col("rank").cast("long").alias("rank"), "status")
+
+
 # Protocol -----------------------------------------------------------------------------------------------------------
 
 @query(f"""{_EDGES}, f as (select * from edges where verified order by confidence desc, a desc, b desc limit 1)
