@@ -181,3 +181,26 @@ def test_signal_files(spark, tmp_path):
         spark.createDataFrame([(bad,)], "value string").write.mode("overwrite").text(path + "3")
         with pytest.raises(Exception, match="invalid signal"):
             jsonl.read_signals(spark, path + "3").collect()
+
+
+def test_token_pairs_by_blocks(spark, monkeypatch):
+    """Pairs equal those of brute force whatever the blocks, and shared tokens are not joined row by row."""
+    import random
+
+    monkeypatch.setattr(S, "SETS_A_BLOCK", 20)
+    draw = random.Random(5)
+    words = [f"word{k}" for k in range(40)]
+    rows = [(k, draw.choice("pqr"), " ".join(words[int(40 * draw.random() ** 2)] for _ in range(draw.choice((0, 1, 3, 9, 30))))) for k in range(200)]
+    rows += [(200, None, rows[-1][2]), (201, "p", None), (202, "q", "nobody else says this"), (203, "p", rows[-1][2])]
+    sets = {k: (s, set((t or "").split()) - {"this"}) for k, s, t in rows}
+    want = {}
+    for a, (s, x) in sets.items():
+        for b, (r, y) in sets.items():
+            if a < b and s != r and x and y and len(x & y) / len(x | y) >= 0.3:
+                want[a, b] = round(len(x & y) / len(x | y), 4)
+    df = spark.createDataFrame(rows, "id long, source string, text string")
+    whole = S.token_pairs(df, df)
+    assert {(r.a, r.b): r.sim for r in whole.collect()} == want and len(want) > 500
+    assert "Join" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    some = {(r.a, r.b): r.sim for r in S.token_pairs(df.where("id < 50"), df).collect()}
+    assert some == {k: v for k, v in want.items() if k[0] < 50}
