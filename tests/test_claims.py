@@ -99,3 +99,40 @@ def test_markup():
     fenced = 'import {\n A,\n B } from "x"\n\n```\nimport a from "b"\n```\n<Box a="1">\n<In>\nhi\n</In>\n<Self x={1} />\n</Box>\n<Open>\nexport const q = {\n a: {b: 1}\n}\nend'
     assert plain_mdx(fenced).split() == ["```", "import", "a", "from", '"b"', "```", "hi", "<Open>", "end"]
     assert plain_mdx('import A from "a"\n<Box>\ntext\n</Box>\nexport const x = {\n a: 1\n}\nend').split() == ["text", "end"]
+
+
+def test_strip_takes_what_patterns_take(spark):
+    """Every character at either end, as by the class of white space; normalised text as by patterns."""
+    ends = spark.createDataFrame([(chr(k),) for k in range(1, 0x3100)], "c string")
+    x = F.concat("c", F.lit("a b"), "c")
+    by_pattern = F.regexp_replace(F.regexp_replace(x, f"{T.FLAGS}^{T.SPACE}+", ""), f"{T.FLAGS}{T.SPACE}+\\z", "")
+    assert ends.where(T.strip(x) != by_pattern).collect() == [] and ends.where(T.strip(x) == "a b").count() == len(T.SPACES)
+    texts = ["a  \n  \n   b\r\n\r\n\r\n c\rd\te \x0b\n\x0c\n\n f ", None, "", "a \n\n\n\nb", "\n\n a\n b", "x\r"]
+    y = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce("t", F.lit("")), "\\r\\n?", "\n"), "[\\t\\x0b\\x0c]", " "), " *\\n *", "\n")
+    y = T.strip(F.regexp_replace(y, "\\n{3,}", "\n\n"))
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert rows.where(T.normalised(F.col("t")) != y).collect() == []
+
+
+def test_trees_accept_the_same_words():
+    import random
+    import re
+
+    from skein.functions import lexicon as L
+
+    draw = random.Random(2)
+    for name, alternation in vars(L).items():
+        if name.isupper() and isinstance(alternation, str) and name not in ("AMOUNT", "QUANTITY_WORDS", "CITATION", "URL", "QUOTED"):
+            plain, quick = re.compile(f"\\b(?:{alternation})\\b"), re.compile(f"\\b{T.tree(alternation)}\\b")
+            pieces = [w for w in re.sub(r"\\d\{[^}]*\}", "1999", re.sub(r"\(\?:([a-z]+)[^)]*\)\??", r"\1", alternation)).replace("?", "").split("|")]
+            assert all(bool(plain.search(w)) == bool(quick.search(w)) for w in pieces) and sum(bool(quick.search(w)) for w in pieces) > len(pieces) * 0.9
+            for _ in range(300):
+                text = " ".join(draw.choice(pieces)[: draw.randint(1, 12)] + draw.choice(("", "s", "ed", " 19")) for _ in range(3))
+                assert bool(plain.search(text)) == bool(quick.search(text)), (name, text)
+
+
+def test_arrays_are_computed_once(spark):
+    """No filter is inferred that cuts text into paragraphs, sentences or clauses once more."""
+    docs = spark.createDataFrame([(1, "The cat is asleep. It rained.")], "doc_id int, text string")
+    plan = C.claim_rows(docs, internal=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.split("\n") if line.strip(" +-:").startswith("Filter") and "size(" in line]
