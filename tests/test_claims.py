@@ -136,3 +136,17 @@ def test_arrays_are_computed_once(spark):
     docs = spark.createDataFrame([(1, "The cat is asleep. It rained.")], "doc_id int, text string")
     plan = C.claim_rows(docs, internal=True)._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.split("\n") if line.strip(" +-:").startswith("Filter") and "size(" in line]
+
+
+def test_pages_come_in_small_batches(spark):
+    """Workers hold a few hundred pages at once, however many a partition has."""
+    from skein.functions import html
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    try:
+        rows = spark.range(600).coalesce(1).select(html.html_text(F.concat(F.lit("<p>a &amp; b"), F.col("id").cast("string"))).alias("t"))
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 256
+        assert {r.t for r in rows.collect()} == {f"a & b{k}" for k in range(600)}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
